@@ -12,7 +12,8 @@ REGEX_META = r".$|()[{^?*+\\"
 
 def trim_blanks(value: Column) -> Column:
     """Strip blanks, tabs and other control characters from both ends."""
-    return F.btrim(value, F.lit(BLANKS))
+    touched = (value < F.lit("!")) | (F.substring(value, -1, 1) < F.lit("!"))
+    return F.when(touched, F.btrim(value, F.lit(BLANKS))).otherwise(value)
 
 
 def separator_regex(sep: str) -> str:
@@ -22,18 +23,23 @@ def separator_regex(sep: str) -> str:
     return f"\\{sep}" if sep in REGEX_META else sep
 
 
-def split_fields(value: Column, sep: str, keep_trailing: bool = True) -> Column:
+def split_fields(value: Column, sep: str, trim: bool = True) -> Column:
     """Array of the fields between separators.
 
-    `keep_trailing=False` ignores empty fields at the end, so that text of separators alone has no
-    field at all; empty text is one empty field either way.
+    `trim` strips the blanks around each field of a line that has none at its ends, and ignores
+    empty fields at the end, so that text of separators alone has no field at all. Empty text is
+    one empty field either way.
     """
     pattern = separator_regex(sep)
-    if keep_trailing:
+    if not trim:
         return F.split(value, pattern)
-    stripped = F.rtrim(value, F.lit(sep))
+    fields = F.split(value, f"[\\x00-\\x20]*{pattern}[\\x00-\\x20]*")
+    whole = F.rtrim(value, F.lit(sep))
+    stripped = F.split(whole, f"[\\x00-\\x20]*{pattern}[\\x00-\\x20]*")
     none = F.array().cast("array<string>")
-    return F.when((stripped == "") & (value != ""), none).otherwise(F.split(stripped, pattern))
+    return (
+        F.when(~F.endswith(value, F.lit(sep)), fields).when(whole == "", none).otherwise(stripped)
+    )
 
 
 def pad_right(value: Column, width: int) -> Column:

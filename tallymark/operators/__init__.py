@@ -10,8 +10,14 @@ from tallymark.operators.aggregates import (
     merge_means,
     sums_by,
 )
-from tallymark.operators.commerce import in_year, pair_stats, revenue_by, valid_scores
-from tallymark.operators.joins import attach_title, lookup, one_per_key
+from tallymark.operators.commerce import (
+    in_year,
+    pair_stats,
+    revenue_by,
+    revenue_by_lookup,
+    valid_scores,
+)
+from tallymark.operators.joins import attach_title, fresh_rows, lookup, one_per_key
 from tallymark.operators.tokens import drop_stopwords, tokenize
 from tallymark.operators.topk import top_n, top_n_per_group
 
@@ -26,12 +32,14 @@ __all__ = [
     "count_by",
     "distinct_totals",
     "drop_stopwords",
+    "fresh_rows",
     "in_year",
     "lookup",
     "merge_means",
     "one_per_key",
     "pair_stats",
     "revenue_by",
+    "revenue_by_lookup",
     "sums_by",
     "tokenize",
     "top_n",

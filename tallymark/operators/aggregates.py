@@ -91,10 +91,8 @@ def avg_by_multivalue(
     A repeated element or dimension row counts each time. The fact is summed by key before the
     elements multiply it.
     """
-    parts = split_fields(F.col(attr), sep, keep_trailing=False)
-    elements = dim.select(key, F.explode(parts).alias(attr)).withColumn(
-        attr, trim_blanks(F.col(attr))
-    )
+    parts = split_fields(trim_blanks(F.col(attr)), sep)
+    elements = dim.select(key, F.explode(parts).alias(attr))
     return merge_means(sums_by(fact, key, value, scale).join(elements, key), attr, scale)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import mean, summable, unscaled, year_range
+from tallymark.operators.joins import fresh_rows
 
 
 def in_year(df: DataFrame, ts: str, year: int) -> DataFrame:
@@ -43,6 +44,25 @@ def revenue_by(
     return df.groupBy(*keys).agg(*aggs)
 
 
+def revenue_by_lookup(
+    items: DataFrame,
+    dim: DataFrame,
+    key: str,
+    attr: str,
+    price: str,
+    freight: str,
+    scale: int | None = 2,
+) -> DataFrame:
+    """Price plus freight per attribute of the joined dimension row, as `total_revenue`.
+
+    Items are summed by the join key first: the join sees each key once, however hot it is.
+    """
+    revenue = F.sum(summable(F.col(price) + F.col(freight), scale)).alias("_sum")
+    joined = items.groupBy(key).agg(revenue).join(dim.select(key, attr), key)
+    total = F.round(unscaled(F.sum("_sum"), scale), 2)
+    return joined.groupBy(attr).agg(total.alias("total_revenue"))
+
+
 def pair_stats(
     items: DataFrame, reviews: DataFrame, key: str, group: str, score: str
 ) -> DataFrame:
@@ -58,7 +78,7 @@ def pair_stats(
         F.count(whole).alias("_scored"),
     )
     per_item = items.groupBy(key, group).agg(F.count(F.lit(1)).alias("_items"))
-    pairs = per_item.join(per_key, key)
+    pairs = per_item.join(fresh_rows(per_key), key)
     n_pairs = F.when(F.col(group).isNotNull(), F.col("_items") * F.col("_reviews")).otherwise(0)
     sums = pairs.groupBy(group).agg(
         F.sum(n_pairs).alias("total_sold"),

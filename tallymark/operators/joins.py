@@ -21,6 +21,16 @@ def one_per_key(dim: DataFrame, key: str) -> DataFrame:
     return picked.select(key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
+def fresh_rows(df: DataFrame) -> DataFrame:
+    """The same rows, passed through a generator so that their partitioning is forgotten.
+
+    The adaptive skew split needs both sides of a join freshly shuffled, but Spark skips the
+    shuffle of a side just grouped by the join key. Use this on such a side, one row per key, when
+    the other side may hold a hot key.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -31,10 +41,11 @@ def lookup(
 ) -> DataFrame:
     """Add `cols` of the dimension to the fact rows.
 
-    `unique=True` keeps one dimension row per key first, so no fact row is multiplied.
+    `unique=True` keeps one dimension row per key first, so no fact row is multiplied. A hot key
+    of the fact is left to the adaptive skew split.
     """
     side = dim.select(key, *cols)
-    return fact.join(one_per_key(side, key) if unique else side, key, how)
+    return fact.join(fresh_rows(one_per_key(side, key)) if unique else side, key, how)
 
 
 def attach_title(
@@ -45,12 +56,12 @@ def attach_title(
     how: str = "left",
     default: str = "Unknown",
 ) -> DataFrame:
-    """Put the title on rows already aggregated by `key`.
+    """Put the title on rows already aggregated by `key`, so that no key is hot.
 
     `left` keeps every key, takes one title per key and fills in `default`;
     `inner` drops keys without a title and repeats a key that has several.
     """
     if how == "inner":
         return lookup(fact_agg, dim, key, [title], "inner")
-    titled = lookup(fact_agg, dim, key, [title], "left", unique=True)
+    titled = fact_agg.join(one_per_key(dim.select(key, title), key), key, "left")
     return titled.withColumn(title, F.coalesce(F.col(title), F.lit(default)))

@@ -77,10 +77,12 @@ SELECT movie_id, band, avg, n, p_name AS title FROM (
   FROM ({_USER_RATINGS}) JOIN (SELECT user_id, {_FIVE} AS band FROM ({_USERS})) USING (user_id)
   GROUP BY movie_id, band)
 JOIN part ON movie_id = p_partkey"""
+_ITEM_MEANS = f"""
+SELECT l_partkey AS movie_id, {_avg("l_quantity")} AS avg, count(l_quantity) AS n
+FROM lineitem GROUP BY l_partkey"""
 _ITEM_SUMMARY = f"""
-SELECT movie_id, avg, n, p_name AS title FROM (
-  SELECT l_partkey AS movie_id, {_avg("l_quantity")} AS avg, count(l_quantity) AS n
-  FROM lineitem GROUP BY l_partkey) JOIN part ON movie_id = p_partkey"""
+SELECT movie_id, avg, n, coalesce(p_name, 'Unknown') AS title
+FROM ({_ITEM_MEANS}) LEFT JOIN part ON movie_id = p_partkey"""
 _CODES = f"""
 SELECT occupation, {_avg("rating")} AS avg, count(rating) AS n
 FROM ({_USER_RATINGS}) JOIN ({_USERS}) USING (user_id) GROUP BY occupation"""
@@ -102,12 +104,12 @@ LEFT JOIN nation ON movie_id = n_nationkey""",
 SELECT * FROM ({_ITEM_SUMMARY}) WHERE n >= 5 ORDER BY avg DESC, movie_id LIMIT 1""",
     "avg_by_multivalue": _GENRES,
     "conditional_avg_pair": f"""
-SELECT movie_id, male, female, p_name AS title FROM (
+SELECT movie_id, male, female, coalesce(p_name, 'Unknown') AS title FROM (
   SELECT movie_id, {_wide("male", "upper(gender) = 'MACHINERY'")},
          {_wide("female", "upper(gender) = 'FURNITURE'")}
   FROM ({_USER_RATINGS}) JOIN ({_USERS}) USING (user_id)
   WHERE upper(gender) IN ('MACHINERY', 'FURNITURE') GROUP BY movie_id)
-JOIN part ON movie_id = p_partkey""",
+LEFT JOIN part ON movie_id = p_partkey""",
     "bucketed_avg_wide": f"""
 SELECT p_partkey AS movie_id, p_name AS title, "0-18", "18-35", "35-50", "50+" FROM part
 LEFT JOIN (
@@ -232,7 +234,8 @@ FROM (SELECT string_split(id || ';' || translate(review, chr(13) || chr(10), '
 WHERE f[5] IN ('positive', 'negative', 'neutral')""",
     "union_inputs": _ITEM_SUMMARY,
     "ratings_from_files": f"""
-SELECT CAST(movie_id AS VARCHAR) AS movie_id, avg, n, title FROM ({_ITEM_SUMMARY})""",
+SELECT CAST(movie_id AS VARCHAR) AS movie_id, avg, n, p_name AS title
+FROM ({_ITEM_MEANS}) JOIN part ON movie_id = p_partkey""",
     "csv_with_header": """
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""",
     "csv_with_schema": """

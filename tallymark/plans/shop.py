@@ -16,6 +16,7 @@ from tallymark.operators import (
     in_year,
     pair_stats,
     revenue_by,
+    revenue_by_lookup,
     valid_scores,
 )
 
@@ -68,10 +69,15 @@ def category_revenue(
     """Price plus freight per product category over the orders of one year, most first."""
     ordered = in_year(orders, "order_purchase_timestamp", year).select("order_id")
     sold = items.select("order_id", "product_id", "price", "freight_value")
-    joined = ordered.join(sold, "order_id").join(
-        products.select("product_id", "product_category_name"), "product_id"
+    revenue = revenue_by_lookup(
+        ordered.join(sold, "order_id"),
+        products,
+        "product_id",
+        "product_category_name",
+        "price",
+        "freight_value",
+        scale,
     )
-    revenue = revenue_by(joined, ["product_category_name"], "price", "freight_value", scale)
     return revenue.orderBy(F.desc("total_revenue"), "product_category_name")
 
 

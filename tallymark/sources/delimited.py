@@ -43,17 +43,17 @@ def parse_delimited(
     """
     if on_short not in POLICIES or on_bad not in POLICIES:
         raise ValueError(f"on_short and on_bad must be one of {POLICIES}")
-    split, enough, fields = _plan(lines, schema, sep, pick, min_fields, exact, trim)
-    if on_short == "drop":
-        split = split.filter(enough)
-    elif on_short == "fail":
-        split = split.filter(_require(enough, "wrong number of fields"))
-    out = split.select(*[typed.alias(name) for name, _, typed in fields], *_bad_marks(fields))
-    marks = [F.col(c) for c in out.columns if c.startswith("_bad ")]
-    if marks and on_bad != "keep":
-        good = ~F.greatest(*marks) if len(marks) > 1 else ~marks[0]
-        out = out.filter(good if on_bad == "drop" else _require(good, "unparsable field"))
-    return out.select(*[name for name, _, _ in fields])
+    rows, enough, good, names = _checked(lines, schema, sep, pick, min_fields, exact, trim)
+    for condition, policy, message in (
+        (enough, on_short, "wrong number of fields"),
+        (good, on_bad, "unparsable field"),
+    ):
+        if policy == "drop":
+            rows = rows.filter(condition)
+        elif policy == "fail":
+            raised = F.raise_error(F.lit(message)).cast("boolean")
+            rows = rows.filter(F.when(condition, True).otherwise(raised))
+    return rows.select(*names)
 
 
 def reject_lines(
@@ -66,12 +66,9 @@ def reject_lines(
     trim: bool = True,
 ) -> DataFrame:
     """The lines that `parse_delimited` with the same arguments drops, and why."""
-    split, enough, fields = _plan(lines, schema, sep, pick, min_fields, exact, trim)
-    bad = F.lit(False)
-    for _, raw, typed in fields:
-        bad = bad | (raw.isNotNull() & typed.isNull())
-    reason = F.when(~enough, "short").when(bad, "bad")
-    return split.select("value", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    rows, enough, good, _ = _checked(lines, schema, sep, pick, min_fields, exact, trim)
+    reason = F.when(~enough, "short").when(~good, "bad")
+    return rows.select("value", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def read_csv(
@@ -88,32 +85,27 @@ def read_csv(
     return reader.csv(path)
 
 
-def _plan(lines, schema, sep, pick, min_fields, exact, trim):
+def _checked(lines, schema, sep, pick, min_fields, exact, trim):
+    """Typed rows with `value` and `_n`, the two conditions a sound row meets, and its columns."""
     declared = StructType.fromDDL(schema).fields
-    names = [f.name for f in declared]
-    picked = [f for f in declared if pick is None or f.name in pick]
-    line = trim_blanks(F.col("value")) if trim else F.col("value")
-    split = lines.select("value", split_fields(line, sep, keep_trailing=not trim).alias("_f"))
+    picked = [(i, f) for i, f in enumerate(declared) if pick is None or f.name in pick]
+    lines = _pinned(lines, _line=trim_blanks(F.col("value"))) if trim else lines
+    line = F.col("_line" if trim else "value")
+    split = _pinned(lines, _f=split_fields(line, sep, trim))
+    typed = {f.name: F.get(F.col("_f"), i).try_cast(f.dataType) for i, f in picked}
+    rows = _pinned(split, _n=F.size("_f"), **typed)
     if exact:
-        enough = F.size("_f") == len(declared)
+        enough = F.col("_n") == len(declared)
     else:
-        enough = F.size("_f") >= (min_fields or 1 + names.index(picked[-1].name))
-    fields = []
-    for field in picked:
-        raw = F.get(F.col("_f"), names.index(field.name))
-        raw = trim_blanks(raw) if trim else raw
-        text = isinstance(field.dataType, StringType)
-        fields.append((field.name, raw, raw if text else raw.try_cast(field.dataType)))
-    return split, enough, fields
-
-
-def _bad_marks(fields) -> list[Column]:
-    return [
-        (raw.isNotNull() & typed.isNull()).alias(f"_bad {name}")
-        for name, raw, typed in fields
-        if raw is not typed
-    ]
-
-
-def _require(condition: Column, message: str) -> Column:
-    return F.when(condition, True).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+        enough = F.col("_n") >= (min_fields or 1 + picked[-1][0])
+    good = F.lit(True)
+    for i, field in picked:
+        if not isinstance(field.dataType, StringType):
+            good = good & ((F.col("_n") <= i) | F.col(field.name).isNotNull())
+    return rows, enough, good, list(typed)
+
+
+def _pinned(df: DataFrame, **cols: Column) -> DataFrame:
+    """Add columns through a generator: a later filter then reads them, where the optimizer would
+    otherwise repeat their expressions in it."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
