@@ -13,7 +13,7 @@ from tallymark.operators.joins import fresh_rows
 
 def in_year(df: DataFrame, ts: str, year: int) -> DataFrame:
     """Rows whose timestamp or date column lies in the year."""
-    return df.filter(year_range(F.col(ts), df.schema[ts].dataType, year))
+    return df.filter(year_range(F.col(ts), df.select(ts).schema[0].dataType, year))
 
 
 def valid_scores(

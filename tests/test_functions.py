@@ -1,0 +1,135 @@
+import datetime
+import random
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymark.functions import (
+    FIVE_BANDS,
+    FOUR_BANDS,
+    bucketize,
+    epoch_year,
+    pad_right,
+    relabel,
+    split_fields,
+    trim_blanks,
+    two_decimals,
+)
+
+
+def apply(spark, values, dtype, build):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
+    out = df.select("i", build(F.col("v")).alias("o")).collect()
+    return [r.o for r in sorted(out)]
+
+
+AGES = [-1, 0, 17, 18, 30, 31, 35, 40, 41, 50, 51, None]
+
+
+def test_four_bands(spark):
+    got = apply(spark, AGES, "int", lambda c: bucketize(c, *FOUR_BANDS))
+    assert got == [
+        None, "0-18", "0-18", "0-18", "18-35", "18-35", "18-35", "35-50", "35-50", "35-50",
+        "50+", None,
+    ]
+
+
+def test_five_bands(spark):
+    got = apply(spark, AGES, "int", lambda c: bucketize(c, *FIVE_BANDS))
+    assert got == [
+        "Under 18", "Under 18", "Under 18", "18-30", "18-30", "31-40", "31-40", "31-40", "41-50",
+        "41-50", "51+", None,
+    ]
+
+
+def test_bucketize_rejects_wrong_labels():
+    with pytest.raises(ValueError):
+        bucketize(F.col("v"), (1, 2), ("a", "b"))
+    with pytest.raises(ValueError):
+        bucketize(F.col("v"), (1,), ("a", "b"), closed="both")
+
+
+def test_relabel_anything_else(spark):
+    got = apply(spark, ["M", "F", "m", "", None], "string", relabel)
+    assert got == ["Male", "Female", "Female", "Female", "Female"]
+
+
+def _doubles():
+    rng = random.Random(7)
+    halves = [k / 8 for k in range(-80, 81)]
+    ties = [float(f"{rng.randint(0, 99999)}.{rng.randint(0, 99):02d}5") for _ in range(3000)]
+    ratios = [rng.randint(1, 5000) / rng.randint(1, 999) for _ in range(3000)]
+    return [*halves, *ties, *ratios, 1.005, 2.675, 1.015, 0.0, -0.001, 1e12 + 0.125]
+
+
+def test_two_decimals_even_is_the_c_rule(spark):
+    values = _doubles()
+    got = apply(spark, values, "double", lambda c: two_decimals(c, "even"))
+    assert got == [f"{v:.2f}" for v in values]
+
+
+def test_two_decimals_up_rounds_the_shortest_form(spark):
+    values = [v for v in _doubles() if v != -0.001]
+    got = apply(spark, values, "double", lambda c: two_decimals(c, "up"))
+    step = Decimal("0.01")
+    assert [Decimal(g) for g in got] == [
+        Decimal(repr(v)).quantize(step, rounding=ROUND_HALF_UP) for v in values
+    ]
+
+
+def test_two_decimals_null(spark):
+    for ties in ("up", "even"):
+        assert apply(spark, [None], "double", lambda c: two_decimals(c, ties)) == [None]
+    with pytest.raises(ValueError):
+        two_decimals(F.col("v"), "down")
+
+
+def test_epoch_year_in_any_zone(spark):
+    values = ["0", "-1", "1577836800", "1577836799", " 964982703 ", "x", "", None, "5.0", "9" * 18]
+    want = [1970, 1969, 2020, 2019, 2000, None, None, None, None, None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for name in ("UTC", "Asia/Ho_Chi_Minh", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", name)
+            assert apply(spark, values, "string", epoch_year) == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_epoch_year_agrees_with_the_calendar(spark):
+    rng = random.Random(3)
+    values = [rng.randint(-60_000_000_000, 250_000_000_000) for _ in range(500)]
+    origin = datetime.datetime(1970, 1, 1)
+    want = [(origin + datetime.timedelta(seconds=v)).year for v in values]
+    assert apply(spark, values, "bigint", epoch_year) == want
+
+
+def test_pad_right_never_cuts(spark):
+    assert apply(spark, ["ab", "abcdef", "", None], "string", lambda c: pad_right(c, 4)) == [
+        "ab  ", "abcdef", "    ", None,
+    ]
+
+
+def test_trim_blanks(spark):
+    values = [" a b\t", "\r\n", "x", "", "\x00x\x1f", "  x", None]
+    want = ["a b", "", "x", "", "x", " x", None]
+    assert apply(spark, values, "string", trim_blanks) == want
+
+
+def test_split_fields_trimmed_ignores_empty_end(spark):
+    values = ["a, b ,c", "a,b,,", ",,", "", "a,,b", "a,b, ,", ",a"]
+    got = apply(spark, values, "string", lambda c: split_fields(c, ","))
+    assert got == [["a", "b", "c"], ["a", "b"], [], [""], ["a", "", "b"], ["a", "b", ""], ["", "a"]]
+
+
+def test_split_fields_raw_keeps_everything(spark):
+    values = ["a, b", "a,b,,", "", ","]
+    got = apply(spark, values, "string", lambda c: split_fields(c, ",", trim=False))
+    assert got == [["a", " b"], ["a", "b", "", ""], [""], ["", ""]]
+
+
+@pytest.mark.parametrize("sep", ["|", ".", "\\", "^", "$", "*", "+", "?", "(", "[", "{", ";", "\t"])
+def test_split_fields_takes_any_separator_literally(spark, sep):
+    got = apply(spark, [f"a{sep}b"], "string", lambda c: split_fields(c, sep, trim=False))
+    assert got == [["a", "b"]]
