@@ -48,6 +48,14 @@ def pad_right(value: Column, width: int) -> Column:
 
 
 def normalised(value: Column, strip: str, delims: str) -> Column:
-    """Lower-case, delete every character of `strip`, then turn every delimiter into a blank."""
-    to_blank = "".join(c for c in dict.fromkeys(delims) if c not in strip)
-    return F.lower(F.translate(value, to_blank + strip, " " * len(to_blank)))
+    """Delete every character of `strip`, turn every delimiter into a blank, and lower-case."""
+    to_blank = "".join(c for c in delims if c not in strip and c != " ")
+    if strip:
+        value = F.regexp_replace(value, f"{_char_class(strip)}+", "")
+    if to_blank:
+        value = F.regexp_replace(value, _char_class(to_blank), " ")
+    return F.lower(value)
+
+
+def _char_class(chars: str) -> str:
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in dict.fromkeys(chars)) + "]"

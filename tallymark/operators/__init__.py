@@ -17,7 +17,8 @@ from tallymark.operators.commerce import (
     revenue_by_lookup,
     valid_scores,
 )
-from tallymark.operators.joins import attach_title, fresh_rows, lookup, one_per_key
+from tallymark.operators.joins import attach_title, lookup, one_per_key
+from tallymark.operators.rows import fresh_rows, pinned
 from tallymark.operators.tokens import drop_stopwords, tokenize
 from tallymark.operators.topk import top_n, top_n_per_group
 
@@ -38,6 +39,7 @@ __all__ = [
     "merge_means",
     "one_per_key",
     "pair_stats",
+    "pinned",
     "revenue_by",
     "revenue_by_lookup",
     "sums_by",

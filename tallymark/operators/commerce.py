@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import mean, summable, unscaled, year_range
-from tallymark.operators.joins import fresh_rows
+from tallymark.operators.rows import fresh_rows
 
 
 def in_year(df: DataFrame, ts: str, year: int) -> DataFrame:
@@ -68,7 +68,7 @@ def pair_stats(
 ) -> DataFrame:
     """Per group: the number of item-review pairs that share a key, and their mean score.
 
-    Both sides are counted per key first and the counts multiplied, so no pair is ever built.
+    Reviews are counted per key before the join, so each item meets one row and no pair is built.
     Scores that are not whole numbers count as pairs but not in the mean.
     """
     whole = F.col(score).try_cast("int")
@@ -77,13 +77,11 @@ def pair_stats(
         F.sum(whole.cast("bigint")).alias("_score"),
         F.count(whole).alias("_scored"),
     )
-    per_item = items.groupBy(key, group).agg(F.count(F.lit(1)).alias("_items"))
-    pairs = per_item.join(fresh_rows(per_key), key)
-    n_pairs = F.when(F.col(group).isNotNull(), F.col("_items") * F.col("_reviews")).otherwise(0)
-    sums = pairs.groupBy(group).agg(
-        F.sum(n_pairs).alias("total_sold"),
-        F.sum(F.col("_items") * F.col("_score")).alias("_score"),
-        F.sum(F.col("_items") * F.col("_scored")).alias("_scored"),
+    met = items.select(key, group).join(fresh_rows(per_key), key)
+    sums = met.groupBy(group).agg(
+        F.sum(F.when(F.col(group).isNotNull(), F.col("_reviews")).otherwise(0)).alias("total_sold"),
+        F.sum("_score").alias("_score"),
+        F.sum("_scored").alias("_scored"),
     )
     average = mean(F.col("_score"), F.col("_scored"), None)
     return sums.select(group, "total_sold", F.round(average, 2).alias("average_score"))

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymark.operators.rows import fresh_rows
+
 
 def one_per_key(dim: DataFrame, key: str) -> DataFrame:
     """One row per key: the greatest of the rows that share it, so the choice is repeatable."""
@@ -21,16 +23,6 @@ def one_per_key(dim: DataFrame, key: str) -> DataFrame:
     return picked.select(key, *[F.col("_row")[c].alias(c) for c in rest])
 
 
-def fresh_rows(df: DataFrame) -> DataFrame:
-    """The same rows, passed through a generator so that their partitioning is forgotten.
-
-    The adaptive skew split needs both sides of a join freshly shuffled, but Spark skips the
-    shuffle of a side just grouped by the join key. Use this on such a side, one row per key, when
-    the other side may hold a hot key.
-    """
-    return df.select(F.inline(F.array(F.struct(*df.columns))))
-
-
 def lookup(
     fact: DataFrame,
     dim: DataFrame,

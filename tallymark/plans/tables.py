@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.operators import pinned
+
 # Function words of the four languages of the documents, and characters that part
 # words there besides the usual ones.
 STOPWORDS = (
@@ -66,10 +68,9 @@ def occupations(spark: SparkSession, d: str) -> DataFrame:
 
 def event_ratings(spark: SparkSession, d: str) -> DataFrame:
     """Events as ratings of the code `k` in their properties, which only some nations have."""
-    return table(spark, d, "events").select(
-        F.get_json_object("props", "$.k").try_cast("int").alias("movie_id"),
-        F.col("value").alias("rating"),
-    )
+    code = F.get_json_object("props", "$.k").try_cast("int")
+    events = table(spark, d, "events").select("props", F.col("value").alias("rating"))
+    return pinned(events, movie_id=code).drop("props")
 
 
 def nation_titles(spark: SparkSession, d: str) -> DataFrame:
@@ -135,10 +136,8 @@ def shop_customers(spark: SparkSession, d: str) -> DataFrame:
 
 def shop_scores(spark: SparkSession, d: str) -> DataFrame:
     """Events as reviews; `k` of the properties, 0 to 99, stands for the score."""
-    return table(spark, d, "events").select(
-        F.col("user_id").alias("order_id"),
-        F.get_json_object("props", "$.k").alias("review_score"),
-    )
+    events = table(spark, d, "events").select("props", F.col("user_id").alias("order_id"))
+    return pinned(events, review_score=F.get_json_object("props", "$.k")).drop("props")
 
 
 def items_by_seller(spark: SparkSession, d: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from tallymark.functions import split_fields, trim_blanks
+from tallymark.operators.rows import pinned
 
 POLICIES = ("drop", "fail", "keep")
 
@@ -89,11 +90,11 @@ def _checked(lines, schema, sep, pick, min_fields, exact, trim):
     """Typed rows with `value` and `_n`, the two conditions a sound row meets, and its columns."""
     declared = StructType.fromDDL(schema).fields
     picked = [(i, f) for i, f in enumerate(declared) if pick is None or f.name in pick]
-    lines = _pinned(lines, _line=trim_blanks(F.col("value"))) if trim else lines
+    lines = pinned(lines, _line=trim_blanks(F.col("value"))) if trim else lines
     line = F.col("_line" if trim else "value")
-    split = _pinned(lines, _f=split_fields(line, sep, trim))
+    split = pinned(lines, _f=split_fields(line, sep, trim))
     typed = {f.name: F.get(F.col("_f"), i).try_cast(f.dataType) for i, f in picked}
-    rows = _pinned(split, _n=F.size("_f"), **typed)
+    rows = pinned(split, _n=F.size("_f"), **typed)
     if exact:
         enough = F.col("_n") == len(declared)
     else:
@@ -103,9 +104,3 @@ def _checked(lines, schema, sep, pick, min_fields, exact, trim):
         if not isinstance(field.dataType, StringType):
             good = good & ((F.col("_n") <= i) | F.col(field.name).isNotNull())
     return rows, enough, good, list(typed)
-
-
-def _pinned(df: DataFrame, **cols: Column) -> DataFrame:
-    """Add columns through a generator: a later filter then reads them, where the optimizer would
-    otherwise repeat their expressions in it."""
-    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
