@@ -97,26 +97,28 @@ def avg_by_multivalue(
 
 
 def _labelled_means(
-    df: DataFrame, key: str, is_label: dict[str, Column], value: str, scale: int | None
+    df: DataFrame,
+    keys: str | Sequence[str],
+    is_label: dict[str, Column],
+    value: str,
+    scale: int | None,
 ) -> DataFrame:
+    keys = _keys(keys)
     amount = summable(F.col(value), scale)
     pairs = []
     for name, hit in is_label.items():
         pairs.append(F.sum(F.when(hit, amount)).alias(f"_sum {name}"))
         pairs.append(F.count(F.when(hit, F.col(value))).alias(f"_n {name}"))
-    sums = df.groupBy(key).agg(*pairs)
-    return sums.select(
-        key,
-        *[
-            mean(F.col(f"`_sum {name}`"), F.col(f"`_n {name}`"), scale).alias(name)
-            for name in is_label
-        ],
-    )
+    means = [
+        mean(F.col(f"`_sum {name}`"), F.col(f"`_n {name}`"), scale).alias(name)
+        for name in is_label
+    ]
+    return df.groupBy(*keys).agg(*pairs).select(*keys, *means)
 
 
 def conditional_avg(
     df: DataFrame,
-    key: str,
+    keys: str | Sequence[str],
     group: str,
     labels: dict[str, str],
     value: str,
@@ -129,7 +131,7 @@ def conditional_avg(
     upper = F.upper(F.col(group))
     wanted = {name: upper == label.upper() for name, label in labels.items()}
     known = df.filter(upper.isin([label.upper() for label in labels.values()]))
-    return _labelled_means(known, key, wanted, value, scale)
+    return _labelled_means(known, keys, wanted, value, scale)
 
 
 def bucketed_avg_wide(

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions.dates import SECONDS_PER_DAY
 from tallymark.operators import pinned
 
 # Function words of the four languages of the documents, and characters that part
@@ -16,8 +17,6 @@ STOPWORDS = (
     "le", "les", "des", "et", "du", "une", "qui", "dans", "pour", "sur",
 )
 DELIMS = ' ",()*\n\t\r'
-# Fixed value: the epoch as a timestamp without a zone.
-EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -145,11 +144,17 @@ def items_by_seller(spark: SparkSession, d: str) -> DataFrame:
     return shop_items(spark, d).select(F.col("seller_id").alias("order_id"), "product_id")
 
 
+def epoch_text(moment: str) -> Column:
+    """Epoch seconds, as text, of a timestamp without a zone."""
+    days = F.date_diff(F.col(moment).cast("date"), F.lit("1970-01-01").cast("date"))
+    clock = F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
+    return (days.cast("bigint") * SECONDS_PER_DAY + clock).cast("string")
+
+
 def epoch_ratings(spark: SparkSession, d: str) -> DataFrame:
     """Orders as ratings with an epoch-seconds text."""
-    seconds = F.expr(f"timestampdiff(SECOND, {EPOCH}, o_orderdate)")
     return table(spark, d, "orders").select(
-        F.col("o_totalprice").alias("rating"), seconds.cast("string").alias("ts")
+        F.col("o_totalprice").alias("rating"), epoch_text("o_orderdate").alias("ts")
     )
 
 
@@ -158,7 +163,7 @@ def rating_lines(spark: SparkSession, d: str, damaged: bool = True, sep: str = "
 
     If damaged, sixth lines of an order are cut after two fields and seventh lines hold no number.
     """
-    seconds = F.expr(f"timestampdiff(SECOND, {EPOCH}, l_shipdate)").cast("string")
+    seconds = epoch_text("l_shipdate")
     rating = F.col("l_quantity").cast("string")
     if damaged:
         rating = F.when(F.col("l_linenumber") == 6, None).otherwise(
