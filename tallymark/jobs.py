@@ -59,13 +59,17 @@ def _genre_averages(spark, p, args):
 def _gender_averages(spark, p, args):
     users = _users(spark, p, "trimmed", "gender")
     ratings, titles = _ratings(spark, p, "trimmed"), _movies(spark, p, "trimmed")
-    return reports.gender_wide_lines(m.gender_averages_wide(ratings, titles, users))
+    return reports.gender_wide_lines(
+        m.gender_averages_wide(ratings, titles, users, salts=args.salts)
+    )
 
 
 def _age_band_averages(spark, p, args):
     users = _users(spark, p, "trimmed", "age")
     ratings, titles = _ratings(spark, p, "trimmed"), _movies(spark, p, "trimmed")
-    return reports.age_band_wide_lines(m.age_band_averages_wide(ratings, titles, users))
+    return reports.age_band_wide_lines(
+        m.age_band_averages_wide(ratings, titles, users, salts=args.salts)
+    )
 
 
 def _known_averages(spark, p, args):
@@ -76,7 +80,7 @@ def _known_averages(spark, p, args):
 def _gender_blocks(spark, p, args):
     users = _users(spark, p, "strict", "gender")
     ratings, titles = _ratings(spark, p, "strict"), _movies(spark, p, "strict")
-    means = m.gender_averages_long(ratings, titles, users)
+    means = m.gender_averages_long(ratings, titles, users, salts=args.salts)
     first = m.first_rows(means, ["movie_id", "gender"], args.rows)
     return reports.gender_blocks(m.gender_names(first))
 
@@ -84,7 +88,7 @@ def _gender_blocks(spark, p, args):
 def _gender_report(spark, p, args):
     users = _users(spark, p, "lenient", "gender")
     ratings, titles = _ratings(spark, p, "lenient"), _movies(spark, p, "lenient")
-    means = m.gender_averages_long(ratings, titles, users)
+    means = m.gender_averages_long(ratings, titles, users, salts=args.salts)
     first = m.first_rows(means, ["movie_id", "gender"], args.rows)
     return reports.gender_lines(m.gender_names(first))
 
@@ -92,7 +96,7 @@ def _gender_report(spark, p, args):
 def _age_band_report(spark, p, args):
     users = _users(spark, p, "lenient", "age")
     ratings, titles = _ratings(spark, p, "lenient"), _movies(spark, p, "lenient")
-    means = m.age_band_averages_long(ratings, titles, users)
+    means = m.age_band_averages_long(ratings, titles, users, salts=args.salts)
     return reports.age_band_lines(m.first_rows(means, ["movie_id", "band"], args.rows))
 
 
@@ -150,6 +154,10 @@ def _category_revenue(spark, p, args):
     return s.category_revenue(*[_csv(spark, p, n) for n in names], args.year)
 
 
+def _product_stats(spark, p, args):
+    return s.product_stats(_csv(spark, p, "items"), _csv(spark, p, "reviews"), args.salts)
+
+
 def _score_report(spark, p, args):
     scores = _csv(spark, p, "reviews")
     return s.score_lines(s.average_score(scores), s.score_distribution(scores))
@@ -183,7 +191,7 @@ JOBS: dict[str, Job] = {
     "orders-by-month": _shop(s.orders_by_month, "orders"),
     "score-report": Job(("reviews",), _score_report, write_text),
     "category-revenue": Job(("orders", "items", "products"), _category_revenue, write_delimited),
-    "product-stats": _shop(s.product_stats, "items", "reviews"),
+    "product-stats": Job(("items", "reviews"), _product_stats, write_delimited),
     "seller-stats": _shop(s.seller_stats, "items"),
 }
 
@@ -194,7 +202,7 @@ def run_job(spark: SparkSession, name: str, paths: Inputs, out: str, **options)
     missing = [i for i in job.inputs if i not in paths]
     if missing:
         raise ValueError(f"{name} needs the inputs {missing}")
-    defaults = {"support": 5, "rows": 20, "top": 5, "sentiment": None, "year": 2024}
+    defaults = {"support": 5, "rows": 20, "top": 5, "sentiment": None, "year": 2024, "salts": 1}
     args = argparse.Namespace(**{**defaults, **options})
     job.write(job.run(spark, paths, args), out)
 
@@ -208,6 +216,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rows", type=int, default=20)
     parser.add_argument("--top", type=int, default=5)
     parser.add_argument("--year", type=int, default=2024)
+    parser.add_argument("--salts", type=int, default=1, help="split hot join keys this often")
     parser.add_argument("--sentiment", choices=r.SENTIMENTS)
     parser.add_argument("--schema", help="DDL of the JSON objects")
     parser.add_argument("--checkpoint", help="checkpoint folder of the stream")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import mean, summable, unscaled, year_range
+from tallymark.operators.joins import lookup
 from tallymark.operators.rows import fresh_rows
 
 
@@ -64,7 +65,7 @@ def revenue_by_lookup(
 
 
 def pair_stats(
-    items: DataFrame, reviews: DataFrame, key: str, group: str, score: str
+    items: DataFrame, reviews: DataFrame, key: str, group: str, score: str, salts: int = 1
 ) -> DataFrame:
     """Per group: the number of item-review pairs that share a key, and their mean score.
 
@@ -77,7 +78,8 @@ def pair_stats(
         F.sum(whole.cast("bigint")).alias("_score"),
         F.count(whole).alias("_scored"),
     )
-    met = items.select(key, group).join(fresh_rows(per_key), key)
+    counts = ["_reviews", "_score", "_scored"]
+    met = lookup(items.select(key, group), fresh_rows(per_key), key, counts, "inner", salts=salts)
     sums = met.groupBy(group).agg(
         F.sum(F.when(F.col(group).isNotNull(), F.col("_reviews")).otherwise(0)).alias("total_sold"),
         F.sum("_score").alias("_score"),

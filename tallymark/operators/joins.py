@@ -30,14 +30,25 @@ def lookup(
     cols: Sequence[str],
     how: str = "left",
     unique: bool = False,
+    salts: int = 1,
 ) -> DataFrame:
     """Add `cols` of the dimension to the fact rows.
 
-    `unique=True` keeps one dimension row per key first, so no fact row is multiplied. A hot key
-    of the fact is left to the adaptive skew split.
+    `unique=True` keeps one dimension row per key first, so no fact row is multiplied.
+    A hot key of the fact is left to the adaptive skew split, which goes by compressed bytes and
+    may miss a key whose rows are copies of each other. `salts` splits every key over that many
+    tasks instead, and repeats the dimension as often; it takes effect when the join shuffles.
     """
     side = dim.select(key, *cols)
-    return fact.join(fresh_rows(one_per_key(side, key)) if unique else side, key, how)
+    if unique:
+        side = fresh_rows(one_per_key(side, key))
+    if salts == 1:
+        return fact.join(side, key, how)
+    # The number of the task that reads a row: the same on a retry, whatever the row order.
+    salted = fact.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    joined = salted.join(side.withColumn("_salt", every), [key, "_salt"], how)
+    return joined.drop("_salt")
 
 
 def attach_title(

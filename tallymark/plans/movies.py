@@ -3,6 +3,7 @@
 Inputs are typed frames: ratings(user_id, movie_id, rating, ts), movies(movie_id, title, genres),
 users(user_id, gender, age, occupation, zip), occupations(occupation, name).
 `scale=2` sums ratings as exact hundredths; without it they are summed as they are.
+`salts` splits hot users over that many tasks, see `lookup`.
 """
 
 from __future__ import annotations
@@ -99,20 +100,25 @@ def gender_averages_wide(
     users: DataFrame,
     labels: dict[str, str] | None = None,
     scale: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Male and female mean per movie; ratings by anyone else count in neither."""
     labels = labels or {"male": "M", "female": "F"}
-    rated = lookup(ratings, users, "user_id", ["gender"], "inner", unique=True)
+    rated = lookup(ratings, users, "user_id", ["gender"], "inner", True, salts)
     wide = conditional_avg(rated, "movie_id", "gender", labels, "rating", scale)
     return attach_title(wide, movies, "movie_id", "title")
 
 
 def age_band_averages_wide(
-    ratings: DataFrame, movies: DataFrame, users: DataFrame, scale: int | None = None
+    ratings: DataFrame,
+    movies: DataFrame,
+    users: DataFrame,
+    scale: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Mean per movie and age band, one column per band; unrated movies stay, with nulls."""
     bands = users.select("user_id", bucketize(F.col("age"), *FOUR_BANDS).alias("band"))
-    rated = lookup(ratings, bands, "user_id", ["band"], "inner", unique=True)
+    rated = lookup(ratings, bands, "user_id", ["band"], "inner", True, salts)
     titles = movies.select("movie_id", "title")
     return bucketed_avg_wide(rated, titles, "movie_id", "band", FOUR_BANDS.labels, "rating", scale)
 
@@ -126,10 +132,14 @@ def movie_averages_known(
 
 
 def gender_averages_long(
-    ratings: DataFrame, movies: DataFrame, users: DataFrame, scale: int | None = None
+    ratings: DataFrame,
+    movies: DataFrame,
+    users: DataFrame,
+    scale: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Mean per movie and gender as written in the user table, with the title."""
-    rated = lookup(ratings, users, "user_id", ["gender"], "inner")
+    rated = lookup(ratings, users, "user_id", ["gender"], "inner", salts=salts)
     means = avg_count_by(rated, ["movie_id", "gender"], "rating", scale)
     return attach_title(means, movies, "movie_id", "title", "inner")
 
@@ -140,12 +150,16 @@ def gender_names(means: DataFrame) -> DataFrame:
 
 
 def age_band_averages_long(
-    ratings: DataFrame, movies: DataFrame, users: DataFrame, scale: int | None = None
+    ratings: DataFrame,
+    movies: DataFrame,
+    users: DataFrame,
+    scale: int | None = None,
+    salts: int = 1,
 ) -> DataFrame:
     """Mean per movie and one of five age bands, with the title."""
     known = users.filter(F.col("age").isNotNull())
     bands = known.select("user_id", bucketize(F.col("age"), *FIVE_BANDS).alias("band"))
-    rated = lookup(ratings, bands, "user_id", ["band"], "inner")
+    rated = lookup(ratings, bands, "user_id", ["band"], "inner", salts=salts)
     means = avg_count_by(rated, ["movie_id", "band"], "rating", scale)
     return attach_title(means, movies, "movie_id", "title", "inner")
 

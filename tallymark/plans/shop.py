@@ -81,9 +81,9 @@ def category_revenue(
     return revenue.orderBy(F.desc("total_revenue"), "product_category_name")
 
 
-def product_stats(items: DataFrame, reviews: DataFrame) -> DataFrame:
+def product_stats(items: DataFrame, reviews: DataFrame, salts: int = 1) -> DataFrame:
     """Item-review pairs of the same order per product, and their mean score; most pairs first."""
-    stats = pair_stats(items, reviews, "order_id", "product_id", "review_score")
+    stats = pair_stats(items, reviews, "order_id", "product_id", "review_score", salts)
     return stats.orderBy(F.desc("total_sold"), "product_id")
 
 

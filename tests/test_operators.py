@@ -88,6 +88,19 @@ def test_lookup_unique_or_not(frame):
     assert len(rows(lookup(fact, dim, "k", ["g"], "inner"))) == 2
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("unique", [True, False])
+def test_salted_lookup_is_the_plain_lookup(spark, frame, how, unique):
+    data = [(("hot" if i % 3 else f"k{i % 7}") if i % 11 else None, i) for i in range(400)]
+    fact = frame(data, "k string, x int").repartition(7, "x")
+    dim = frame([("hot", "A"), ("hot", "B"), ("k0", "C"), ("k9", "D"), (None, "E")],
+                "k string, g string")
+    plain = lookup(fact, dim, "k", ["g"], how, unique)
+    salted = lookup(fact, dim, "k", ["g"], how, unique, salts=5)
+    assert salted.columns == plain.columns
+    assert rows(salted) == rows(plain)
+
+
 def test_one_per_key_and_fresh_rows(frame):
     dim = frame([("a", 1, "x"), ("a", 2, "b"), ("b", None, None)], "k string, n int, s string")
     picked = one_per_key(dim, "k")

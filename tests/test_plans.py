@@ -8,6 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tallymark.operators import lookup
 from tallymark.plans import movies as m
 from tallymark.plans.registry import QUERIES
 
@@ -135,6 +136,24 @@ def test_a_hot_user_is_split_over_tasks(split_early, query):
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
+def test_salts_split_copies_of_one_row(split_early):
+    spark = split_early
+    copies = spark.range(0, 40_000, numPartitions=8).select(
+        F.when(F.col("id") >= 0, 7).alias("user_id"), F.lit("x").alias("what")
+    )
+    users = spark.range(10).select(F.col("id").alias("user_id"), F.lit("M").alias("gender"))
+
+    def tasks(df):
+        return df.groupBy(F.spark_partition_id()).count().count()
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert tasks(lookup(copies, users, "user_id", ["gender"])) == 1
+        assert tasks(lookup(copies, users, "user_id", ["gender"], salts=8)) > 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
 def test_aggregated_joins_see_a_hot_key_once(split_early):
     spark = split_early
     ratings = spark.range(0, 30_000, numPartitions=8).select(
