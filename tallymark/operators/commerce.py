@@ -69,7 +69,8 @@ def pair_stats(
 ) -> DataFrame:
     """Per group: the number of item-review pairs that share a key, and their mean score.
 
-    Reviews are counted per key before the join, so each item meets one row and no pair is built.
+    Items are counted per key and group, reviews per key, and the counts multiplied: no pair is
+    built, and copies shrink to one row before the shuffle.
     Scores that are not whole numbers count as pairs but not in the mean.
     """
     whole = F.col(score).try_cast("int")
@@ -78,12 +79,14 @@ def pair_stats(
         F.sum(whole.cast("bigint")).alias("_score"),
         F.count(whole).alias("_scored"),
     )
+    per_item = items.groupBy(key, group).agg(F.count(F.lit(1)).alias("_items"))
     counts = ["_reviews", "_score", "_scored"]
-    met = lookup(items.select(key, group), fresh_rows(per_key), key, counts, "inner", salts=salts)
+    met = lookup(per_item, fresh_rows(per_key), key, counts, "inner", salts=salts)
+    n_pairs = F.when(F.col(group).isNotNull(), F.col("_items") * F.col("_reviews")).otherwise(0)
     sums = met.groupBy(group).agg(
-        F.sum(F.when(F.col(group).isNotNull(), F.col("_reviews")).otherwise(0)).alias("total_sold"),
-        F.sum("_score").alias("_score"),
-        F.sum("_scored").alias("_scored"),
+        F.sum(n_pairs).alias("total_sold"),
+        F.sum(F.col("_items") * F.col("_score")).alias("_score"),
+        F.sum(F.col("_items") * F.col("_scored")).alias("_scored"),
     )
     average = mean(F.col("_score"), F.col("_scored"), None)
     return sums.select(group, "total_sold", F.round(average, 2).alias("average_score"))
