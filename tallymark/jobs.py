@@ -120,7 +120,8 @@ def _reviews(spark, p):
 
 
 def _clean_words(spark, p, args):
-    return r.clean_words(*_reviews(spark, p)).select("id", "word", "aspect", "category", "sentiment")
+    words = r.clean_words(*_reviews(spark, p))
+    return words.select("id", "word", "aspect", "category", "sentiment")
 
 
 def _top_words(spark, p, args):
