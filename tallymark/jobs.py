@@ -161,7 +161,7 @@ def _product_stats(spark, p, args):
 
 def _score_report(spark, p, args):
     scores = _csv(spark, p, "reviews")
-    return s.score_lines(s.average_score(scores), s.score_distribution(scores))
+    return reports.score_lines(s.average_score(scores), s.score_distribution(scores))
 
 
 RATED = ("ratings", "movies")

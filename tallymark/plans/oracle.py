@@ -147,13 +147,16 @@ SELECT {_FOUR} AS four, {_FIVE} AS five, count(*) AS n FROM ({_USERS}) GROUP BY
     "summary_by_code_name": f"""
 SELECT occupation, avg, n, n_name AS name FROM ({_CODES})
 LEFT JOIN nation ON occupation = n_nationkey""",
-    "lookup_with_default": f"""
+    "lookup_unmatched": f"""
 SELECT movie_id, rating, n_name AS title FROM ({_EVENT_RATINGS})
 LEFT JOIN nation ON movie_id = n_nationkey""",
     "summary_by_epoch_year": f"""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {_avg("o_totalprice")} AS avg,
        count(o_totalprice) AS n FROM orders GROUP BY 1""",
     "clean_tokens": f"SELECT id, aspect, category, sentiment, word FROM ({_CLEAN})",
+    "clean_tokens_stopword_table": f"""
+SELECT id, aspect, category, sentiment, word FROM ({_WORDS.format(reviews=_REVIEWS)})
+WHERE word NOT IN (SELECT unnest(string_split(p_name, ' ')) FROM part)""",
     "word_counts": f"SELECT word, count(id) AS frequency FROM ({_CLEAN}) GROUP BY word",
     "word_counts_stopword_table": f"""
 SELECT word, count(id) AS frequency FROM ({_WORDS.format(reviews=_REVIEWS)})

@@ -7,13 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.functions import FIVE_BANDS, FOUR_BANDS, bucketize
 from tallymark.operators import count_by, lookup
 from tallymark.plans import movies as m
 from tallymark.plans import reports
 from tallymark.plans import reviews as r
 from tallymark.plans import shop as s
 from tallymark.plans import tables as t
-from tallymark.functions import FIVE_BANDS, FOUR_BANDS, bucketize
 from tallymark.session import scratch_path
 from tallymark.sources import (
     delimited_lines,
@@ -162,7 +162,7 @@ def summary_by_code_name(spark, d):
 
 
 @query
-def lookup_with_default(spark, d):
+def lookup_unmatched(spark, d):
     """Events with the name of their code, null where the code has none."""
     return lookup(
         t.event_ratings(spark, d), t.nation_titles(spark, d), "movie_id", ["title"], "left", True
@@ -177,11 +177,21 @@ def summary_by_epoch_year(spark, d):
 # ---- review text -----------------------------------------------------------------------------
 
 
+def _part_words(spark, d):
+    return t.table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word"))
+
+
 @query
 def clean_tokens(spark, d):
     return r.clean_words(t.reviews(spark, d), t.STOPWORDS, t.DELIMS)
 
 
+@query
+def clean_tokens_stopword_table(spark, d):
+    """Stopwords from a table: the words of the part names, each as often as parts have it."""
+    return r.clean_words(t.reviews(spark, d), _part_words(spark, d), t.DELIMS)
+
+
 @query
 def word_counts(spark, d):
     return r.word_counts(t.reviews(spark, d), t.STOPWORDS, t.DELIMS)
@@ -189,9 +199,7 @@ def word_counts(spark, d):
 
 @query
 def word_counts_stopword_table(spark, d):
-    """Stopwords from a table: the words of the part names."""
-    stop = t.table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word"))
-    return r.word_counts(t.reviews(spark, d), stop.distinct(), t.DELIMS)
+    return r.word_counts(t.reviews(spark, d), _part_words(spark, d), t.DELIMS)
 
 
 @query
@@ -267,7 +275,7 @@ def average_score(spark, d):
 @query
 def score_report(spark, d):
     scores = t.shop_scores(spark, d)
-    return s.score_lines(s.average_score(scores), s.score_distribution(scores))
+    return reports.score_lines(s.average_score(scores), s.score_distribution(scores))
 
 
 @query

@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions import two_decimals
 from tallymark.operators import (
     avg_count_by,
     count_by,
@@ -91,16 +90,3 @@ def seller_stats(items: DataFrame, scale: int | None = 2) -> DataFrame:
     """Revenue and distinct orders per seller, most first."""
     stats = revenue_by(items, ["seller_id"], "price", "freight_value", scale, "order_id")
     return stats.orderBy(F.desc("total_revenue"), F.desc("total_orders"), "seller_id")
-
-
-def score_lines(average: DataFrame, distribution: DataFrame) -> DataFrame:
-    """The report lines of the mean score and of the score distribution."""
-    head = average.select(
-        F.lit(0).alias("_place"),
-        F.concat(F.lit("Average Review Score: "), two_decimals(F.col("avg"), "even")).alias("line"),
-    )
-    rows = distribution.select(
-        F.col("score").alias("_place"),
-        F.format_string("Score %d: %d reviews", "score", "n").alias("line"),
-    )
-    return head.unionByName(rows).orderBy("_place").select("line")

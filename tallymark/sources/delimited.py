@@ -89,6 +89,9 @@ def read_csv(
 def _checked(lines, schema, sep, pick, min_fields, exact, trim):
     """Typed rows with `value` and `_n`, the two conditions a sound row meets, and its columns."""
     declared = StructType.fromDDL(schema).fields
+    unknown = set(pick or ()) - {f.name for f in declared}
+    if unknown:
+        raise ValueError(f"not in the schema: {sorted(unknown)}")
     picked = [(i, f) for i, f in enumerate(declared) if pick is None or f.name in pick]
     lines = pinned(lines, _line=trim_blanks(F.col("value"))) if trim else lines
     line = F.col("_line" if trim else "value")

@@ -78,6 +78,11 @@ def test_dropped_and_rejected_lines_add_up(lines):
     assert kept.count() + bad.count() == df.count()
 
 
+def test_unknown_column(lines):
+    with pytest.raises(ValueError):
+        parse_delimited(lines("1"), "a int", pick=["a", "b"])
+
+
 def test_unknown_policy(lines):
     with pytest.raises(ValueError):
         parse_delimited(lines("1"), "a int", on_bad="ignore")
