@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import normalised
+from tallymark.operators.rows import fresh_rows
 
 # Punctuation that is deleted, and characters that separate words.
 PUNCTUATION = "?!;,."
@@ -41,7 +42,8 @@ def drop_stopwords(
     side Catalyst broadcasts only if it is small.
     """
     if isinstance(stopwords, DataFrame):
-        side = stopwords.select(F.col(stopwords.columns[0]).alias(col))
+        # Each stopword once, however often the table repeats it.
+        side = fresh_rows(stopwords.select(F.col(stopwords.columns[0]).alias(col)).distinct())
         return tokens.join(side, col, "left_anti").select(*tokens.columns)
     words = sorted(set(stopwords))
     if len(words) > MAX_LITERAL_WORDS:
