@@ -10,6 +10,7 @@ import argparse
 from collections.abc import Callable
 from typing import NamedTuple
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.plans import movies as m
@@ -226,7 +227,10 @@ def main(argv: list[str] | None = None) -> None:
     for item in args.pop("input"):
         name, _, path = item.partition("=")
         paths.setdefault(name, []).append(path)
-    spark = SparkSession.builder.appName(f"tallymark {args['job']}").getOrCreate()
+    # What spark-submit was given stands; the web page is off unless asked for.
+    conf = SparkConf().setIfMissing("spark.ui.enabled", "false")
+    conf.setIfMissing("spark.app.name", f"tallymark {args['job']}")
+    spark = SparkSession.builder.config(conf=conf).getOrCreate()
     job, out = args.pop("job"), args.pop("out")
     schema, checkpoint = args.pop("schema"), args.pop("checkpoint")
     if job == "ingest-json":

@@ -4,7 +4,7 @@ import json
 
 import pytest
 
-from tallymark.jobs import JOBS, run_job
+from tallymark.jobs import JOBS, main, run_job
 from tallymark.session import scratch_path
 
 MOVIES = ["m1, Alpha (1990), Drama|War", "m2, Beta, the Second (1991), Drama", "m3, Gamma (1992), Noir",
@@ -212,6 +212,22 @@ def test_shop_jobs(job):
     assert run("seller-stats") == ["s1;122.5;2", "s2;5.5;2"]
 
 
+def test_command_line(spark, tmp_path):
+    (tmp_path / "r1.txt").write_text("u1,m1,4.0,1\nu2,m1,5.0,1")
+    (tmp_path / "r2.txt").write_text("u1,m2,1.0,1")
+    (tmp_path / "m.txt").write_text("m1,Alpha,War\nm2,Beta,War")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"message":"hi"}\n{bad\n')
+    out = scratch_path(spark, "cli")
+    ratings = [f"--input=ratings={tmp_path}/r{i}.txt" for i in (1, 2)]
+    main(["best-movie", *ratings, f"--input=movies={tmp_path}/m.txt", f"--out={out}/best",
+          "--support=2"])
+    assert [r.value.split("\t")[0] for r in spark.read.text(f"{out}/best").collect()] == ["Alpha"]
+    main(["ingest-json", f"--input=lines={tmp_path}/in", "--schema=message string",
+          f"--checkpoint={out}/ck", f"--out={out}/rows"])
+    assert spark.read.parquet(f"{out}/rows").filter("kind = 'good'").first().message == "hi"
+
+
 def test_missing_input(spark):
     with pytest.raises(ValueError):
         run_job(spark, "best-movie", {"ratings": ["x"]}, "/nowhere")
