@@ -69,7 +69,8 @@ def reject_lines(
     """The lines that `parse_delimited` with the same arguments drops, and why."""
     rows, enough, good, _ = _checked(lines, schema, sep, pick, min_fields, exact, trim)
     reason = F.when(~enough, "short").when(~good, "bad")
-    return rows.select("value", reason.alias("reason")).filter(F.col("reason").isNotNull())
+    lost = rows.select(F.col("_text").alias("value"), reason.alias("reason"))
+    return lost.filter(F.col("reason").isNotNull())
 
 
 def read_csv(
@@ -87,14 +88,15 @@ def read_csv(
 
 
 def _checked(lines, schema, sep, pick, min_fields, exact, trim):
-    """Typed rows with `value` and `_n`, the two conditions a sound row meets, and its columns."""
+    """Typed rows with `_text` and `_n`, the two conditions a sound row meets, and its columns."""
     declared = StructType.fromDDL(schema).fields
     unknown = set(pick or ()) - {f.name for f in declared}
     if unknown:
         raise ValueError(f"not in the schema: {sorted(unknown)}")
     picked = [(i, f) for i, f in enumerate(declared) if pick is None or f.name in pick]
-    lines = pinned(lines, _line=trim_blanks(F.col("value"))) if trim else lines
-    line = F.col("_line" if trim else "value")
+    lines = lines.select(F.col("value").alias("_text"))
+    lines = pinned(lines, _line=trim_blanks(F.col("_text"))) if trim else lines
+    line = F.col("_line" if trim else "_text")
     split = pinned(lines, _f=split_fields(line, sep, trim))
     typed = {f.name: F.get(F.col("_f"), i).try_cast(f.dataType) for i, f in picked}
     rows = pinned(split, _n=F.size("_f"), **typed)

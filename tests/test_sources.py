@@ -78,6 +78,12 @@ def test_dropped_and_rejected_lines_add_up(lines):
     assert kept.count() + bad.count() == df.count()
 
 
+def test_a_column_may_be_called_value(lines):
+    df = lines("1,2.5", "2,x")
+    assert rows(parse_delimited(df, "key string, value double")) == [("1", 2.5)]
+    assert rows(reject_lines(df, "key string, value double")) == [("2,x", "bad")]
+
+
 def test_unknown_column(lines):
     with pytest.raises(ValueError):
         parse_delimited(lines("1"), "a int", pick=["a", "b"])
