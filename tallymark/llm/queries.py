@@ -8,11 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymark.llm.bit_sliced_search import top_k_inner_products
 from tallymark.llm.common import table
+from tallymark.llm.minhash_dedup import near_duplicate_classes
 from tallymark.llm.mixing import fair_mix
 from tallymark.llm.packing import pack_documents
 from tallymark.llm.prefix_tokens import prefix_token_counts
 from tallymark.llm.quality_rules import quality_rules
+from tallymark.llm.secret_scan import KINDS, scan_secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,12 +44,42 @@ def op1_prefix_token_counts(spark, d):
     )
 
 
+@query
+def op3_secret_scan(spark, d):
+    found = scan_secrets(table(spark, d, "documents"))
+
+    def of(kind):
+        return F.filter("spans", lambda s: s["kind"] == kind)
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"] != "random")
+    return found.select(
+        "doc_id",
+        *(F.size(of(k)).cast("long").alias(f"n_{k}") for k in KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op6_fair_mix(spark, d):
     mix = fair_mix(table(spark, d, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op7_bit_sliced_top_k(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return top_k_inner_products(vectors, F.col("vec_id") % 50 == 0)
+
+
+@query
+def op8_dart_minhash_classes(spark, d):
+    return near_duplicate_classes(table(spark, d, "documents"))
+
+
 @query
 def op9_pack_sequences(spark, d):
     return pack_documents(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
