@@ -49,3 +49,65 @@ SELECT d.doc_id, d.size, t.source_size, t.target,
 FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 LEFT JOIN times x ON d.source IS NOT DISTINCT FROM x.source AND d.k = x.k
 """
+
+# Captures are made from the pages as rows; the query makes, writes and parses record texts.
+ORACLE["op2_warc_revisits"] = r"""
+WITH p AS (
+  SELECT page_id, url, md5(coalesce(html, '')) AS h, strlen(coalesce(html, '')) AS n,
+         TIMESTAMP '2024-01-01' + to_minutes(page_id) AS t
+  FROM pages
+), made AS (
+  SELECT page_id, 1 AS visit, 'response' AS kind, t AS at, url, 'md5:' || h AS digest,
+         ['cache-control: max-age=60', 'content-length: ' || n, 'content-type: text/html',
+          'etag: "' || h[:16] || '"', 'last-modified: ' || strftime(t - INTERVAL 7 DAY, '%Y-%m-%dT%H:%M:%SZ'),
+          'set-cookie: a=1, b=2'] AS fields FROM p
+  UNION ALL
+  SELECT page_id, 2, 'revisit', t + INTERVAL 1 DAY, url, 'md5:' || h,
+         ['cache-control: max-age=120', 'date: ' || strftime(t + INTERVAL 1 DAY, '%Y-%m-%dT%H:%M:%SZ'),
+          'etag: W/"' || h[:16] || '"'] FROM p
+  UNION ALL
+  SELECT page_id, 3, 'response', t + INTERVAL 2 DAY, url, 'md5:' || md5('v2' || h),
+         ['content-type: text/html', 'etag: "v2-' || h[:8] || '"'] FROM p WHERE page_id % 3 = 0
+  UNION ALL
+  SELECT page_id, 4, 'revisit', t + INTERVAL 3 DAY, url, CASE WHEN page_id % 4 = 2 THEN 'md5:' || h END,
+         list_filter(['age: 5', CASE WHEN page_id % 4 = 0 THEN 'etag: "' || h[:16] || '"' END,
+           CASE WHEN page_id % 4 = 1 THEN
+             'last-modified: ' || strftime(t - INTERVAL 7 DAY, '%Y-%m-%dT%H:%M:%SZ') END],
+           lambda x: x IS NOT NULL) FROM p
+  UNION ALL
+  SELECT page_id, 5, 'revisit', t - INTERVAL 1 DAY, url, NULL, ['etag: "' || h[:16] || '"']
+  FROM p WHERE page_id % 10 = 0
+), plain AS (
+  SELECT *, page_id || '-' || visit AS id, regexp_replace(url, '^[a-z]+://|#.*$', '', 'g') AS u FROM made
+), named AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(u, '^[^/?]*')), '^www\.', ''),
+                           '\.?(:80|:443)?$', '')
+         || regexp_replace(regexp_extract(u, '^[^/?]*([^?]*)', 1), '/+$', '') AS base,
+         array_to_string(list_sort(list_filter(string_split(regexp_extract(u, '^[^?]*\?(.*)$', 1), '&'),
+           lambda x: x != '' AND NOT starts_with(lower(x), 'utm_') AND lower(regexp_extract(x, '^[^=]*'))
+             NOT IN ('ref', 'sessionid', 'phpsessid', 'jsessionid', 'fbclid', 'gclid'))), '&') AS q
+  FROM plain
+), keyed AS (
+  SELECT *, base || CASE WHEN q != '' THEN '?' || q ELSE '' END AS k,
+         regexp_replace(list_filter(fields, lambda x: starts_with(x, 'etag'))[1], '^etag: (W/)?', '') AS tag,
+         list_filter(fields, lambda x: starts_with(x, 'last-modified'))[1] AS since
+  FROM named
+), latest AS (
+  SELECT r.page_id, r.visit, arg_max(s, (s.at, s.id)) AS s
+  FROM keyed r JOIN keyed s ON r.k = s.k AND s.kind = 'response' AND s.at < r.at
+  WHERE r.kind = 'revisit' GROUP BY r.page_id, r.visit
+), judged AS (
+  SELECT r.*, l.s AS s, CASE
+    WHEN l.s IS NULL THEN 'no_response'
+    WHEN r.tag IS NOT NULL THEN CASE WHEN r.tag = l.s.tag THEN 'resolved' ELSE 'mismatch' END
+    WHEN r.since IS NOT NULL THEN CASE WHEN r.since = l.s.since THEN 'resolved' ELSE 'mismatch' END
+    WHEN r.digest IS NOT NULL THEN CASE WHEN r.digest = l.s.digest THEN 'resolved' ELSE 'mismatch' END
+    ELSE 'no_validator' END AS verdict
+  FROM keyed r LEFT JOIN latest l USING (page_id, visit) WHERE r.kind = 'revisit'
+)
+SELECT page_id, visit, k AS canonical_url, verdict, s.id AS response_id, s.digest AS digest,
+       CASE WHEN verdict = 'resolved' THEN array_to_string(list_sort(list_concat(fields,
+         list_filter(s.fields, lambda x: NOT list_contains(
+           list_transform(fields, lambda y: split_part(y, ':', 1)), split_part(x, ':', 1))))), chr(10)) END AS headers
+FROM judged
+"""

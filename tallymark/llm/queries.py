@@ -16,6 +16,7 @@ from tallymark.llm.packing import pack_documents
 from tallymark.llm.prefix_tokens import prefix_token_counts
 from tallymark.llm.quality_rules import quality_rules
 from tallymark.llm.secret_scan import KINDS, scan_secrets
+from tallymark.llm.warc_revisits import crawl_log, parse_records, resolve_revisits
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +89,19 @@ def op9_pack_sequences(spark, d):
 @query
 def op10_quality_rules(spark, d):
     return quality_rules(table(spark, d, "documents")).drop("broken")
+
+
+@query
+def op2_warc_revisits(spark, d):
+    captures = parse_records(crawl_log(table(spark, d, "pages")))
+    found = resolve_revisits(captures)
+    fields = F.transform("fields", lambda x: F.concat(x["name"], F.lit(": "), x["value"]))
+    return found.select(
+        F.split("record_id", "-")[0].cast("long").alias("page_id"),
+        F.split("record_id", "-")[1].cast("int").alias("visit"),
+        "canonical_url",
+        "verdict",
+        "response_id",
+        "digest",
+        F.array_join(fields, "\n").alias("headers"),
+    )
