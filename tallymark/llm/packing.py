@@ -13,20 +13,25 @@
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import map_arrow, materialised, prefix_sums, strings
+from tallymark.llm.common import map_arrow, materialised, prefix_sums
+from tallymark.llm.words import TEXTS, Remembered, spread
 
 CAPACITY = 4096
 #: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 
 
 class WordIds:
@@ -34,42 +39,41 @@ class WordIds:
 
     For tokenizers that never join anything across ASCII white space and drop that white space
     themselves, the ids of a text are those of its words in a row; words seen before are looked
-    up. Checked against the library's whole-text encoding in the tests.
+    up. If the tokenizer also ignores case and cuts between a letter and a sign (`cuts_signs`),
+    words are looked up in lower case and without the full stop or comma behind them. Both are
+    checked against the library's whole-text encoding in the tests.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cuts_signs: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        unknown = []
-        for w in words:
-            got = self.old.get(w)
-            if got is None:
-                unknown.append(w)
-            else:
-                self.new[w] = got
-        texts = [w.decode("utf-8", "replace") for w in unknown]
-        for w, e in zip(
-            unknown, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True
-        ):
-            self.new[w] = np.array(e.ids, "<u4").tobytes()
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        split = [t.encode("utf-8", "replace").split() for t in texts]
-        out = []
-        for at in range(0, len(split), 256):
-            part = split[at : at + 256]
-            if len(self.new) > REMEMBERED:
-                self.old, self.new = self.new, {}
-            self.learn({w for words in part for w in words if w not in self.new})
-            get = self.new.__getitem__
-            out += [b"".join(map(get, words)) for words in part]
-        return out
+        self.cuts_signs = cuts_signs
+        self.ids = Remembered(self._encode, REMEMBERED)
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        texts = [w.decode("utf-8", "replace") for w in words]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [_little(e.ids) for e in found]
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; null is empty."""
+        for at in range(0, len(texts), TEXTS):
+            part = texts.slice(at, TEXTS).fill_null("")
+            if self.cuts_signs:
+                plain = pc.replace_substring_regex(
+                    pc.ascii_lower(part), pattern="([a-z])([.,])", replacement=r"\1 \2"
+                )
+                # Special tokens are case-sensitive: leave texts that may have them as they are.
+                part = pc.if_else(pc.match_substring(part, "<|"), part, plain)
+            yield from spread(pc.ascii_split_whitespace(part), self.ids, "<u4")
+
+
+def _little(ids: list[int]) -> bytes:
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 @cache
@@ -104,8 +108,8 @@ def pieces_of(
         for batch in batches:
             ids, cols = batch.column(0), [[] for _ in range(6)]
             take = []
-            for row, raw in enumerate(encode(strings(batch.column(1)))):
-                raw += end
+            for row, tokens in enumerate(encode(batch.column(1))):
+                raw = tokens.tobytes() + end
                 for k, at in enumerate(range(0, len(raw), step)):
                     part = raw[at : at + step]
                     n = len(part) // 4
