@@ -15,17 +15,20 @@ are remembered. A model with such pieces is treated as one chunk a text.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import map_arrow, strings
+from tallymark.llm.words import TEXTS, Remembered, spread
 
-#: Chunks that a worker remembers, and the longest that it remembers.
-REMEMBERED, LONGEST = 400_000, 64
+#: Words that a worker remembers.
+REMEMBERED = 600_000
 MARK = "▁"
 
 
@@ -55,8 +58,8 @@ class PrefixCounter:
         self.chunks = re.compile(r" +[^ ]*")
         if any(" " in x[1:] and x.strip(" ") for x in self.score):
             self.chunks = re.compile(r"(?s).+")
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.by_words = self.chunks.pattern.startswith(" ")
+        self.known = Remembered(self._steps_of_words, REMEMBERED)
         self.fits = lru_cache(1_000_000)(self._fits)
 
     def merge(self, text: str) -> list[str]:
@@ -103,26 +106,30 @@ class PrefixCounter:
                 raise AssertionError(f"no last token for {chunk[:end]!r}")
         return bytes([(b - a) & 255 for a, b in zip(count, count[1:], strict=False)])
 
-    def remembered(self, chunk: str) -> bytes:
-        """`steps`, kept for short chunks: those asked for lately stay."""
-        got = self.old.get(chunk)
-        if got is None:
-            got = self.steps(chunk)
-        if len(chunk) <= LONGEST:
-            if len(self.new) >= REMEMBERED:
-                self.old, self.new = self.new, {}
-            self.new[chunk] = got
-        return got
-
-    def __call__(self, text: str) -> np.ndarray:
+    def _steps_of_words(self, words: list[bytes]) -> list[bytes]:
+        return [self.steps(" " + w.decode("utf-8", "replace")) for w in words]
+
+    def counts(self, text: str) -> np.ndarray:
         """Token counts of the prefixes of 0, 1, ... len(text) characters."""
-        if not text:
-            return np.zeros(1, np.int64)
-        chunks = self.chunks.findall(" " + text.replace(MARK, " "))
-        parts = [self.new.get(c) or self.remembered(c) for c in chunks]
-        counts = np.cumsum(np.frombuffer(b"".join(parts), np.int8), dtype=np.int64)
-        counts[0] = 0  # the space that the model puts before a text counts from its first character
-        return counts
+        steps = b"".join(map(self.steps, self.chunks.findall(" " + text.replace(MARK, " "))))
+        return _summed(np.frombuffer(steps, np.int8)) if text else np.zeros(1, np.int64)
+
+    def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """`counts` of each text; null is empty."""
+        for at in range(0, len(texts), TEXTS):
+            part = texts.slice(at, TEXTS).fill_null("")
+            # Elsewhere every space begins a chunk of its own, so words may be looked up.
+            odd = pc.match_substring_regex(part, f"^$|^ |  | $|{MARK}").to_numpy(zero_copy_only=False)
+            odd |= not self.by_words
+            plain = pc.split_pattern(pc.if_else(pa.array(odd), "", part), " ")
+            for i, steps in enumerate(spread(plain, self.known, np.int8)):
+                yield self.counts(strings(part.slice(i, 1))[0]) if odd[i] else _summed(steps)
+
+
+def _summed(steps: np.ndarray) -> np.ndarray:
+    counts = np.cumsum(steps, dtype=np.int64)
+    counts[0] = 0  # the space that the model puts before a text counts from its first character
+    return counts
 
 
 @cache
@@ -171,11 +178,10 @@ def prefix_token_counts(
     def run(batches):
         count = counter(model)
         for batch in batches:
-            texts = strings(batch.column(1))
-            counts = (count(t) for t in texts)
+            lengths = pc.binary_length(batch.column(1)).fill_null(0).to_pylist()
             rows = []
-            for text, c in zip(texts, counts, strict=True):
-                row = [len(text.encode("utf-8", "replace")), int(c[-1])]
+            for n_bytes, c in zip(lengths, count(batch.column(1)), strict=True):
+                row = [n_bytes, int(c[-1])]
                 row += [longest_within(c, b) for b in budgets]
                 rows.append([*row, pack(c)] if keep_prefixes else row)
             names = ["n_bytes", "n_tokens", *(f"fits_{b}" for b in budgets)]
