@@ -364,7 +364,6 @@ def one_of_each(
     The row of the least id stays (nulls last, then the least text hash); of rows equal in id and
     text any one.
     """
-    columns = docs.columns
     rows, classes = _node_classes(_named(docs, id_col, text_col), size, threshold)
     rank = F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("node"))
     first = rows.groupBy("node").agg(F.min(rank).alias("first")).join(classes, "node")
@@ -373,7 +372,7 @@ def one_of_each(
         kept.select(F.col("first.node").alias("kept_node"), F.col("first.id").alias("kept_id")),
         "dedup-kept",
     )
-    packed = docs.select(F.struct(*columns).alias("row"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     text = F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit(""))
     mine = (F.col("node") == F.col("kept_node")) & F.col("id").eqNullSafe(F.col("kept_id"))
     keyed = packed.withColumn("node", F.unhex(F.md5(text))).withColumn("id", F.col(f"row.{id_col}"))

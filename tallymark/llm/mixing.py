@@ -229,8 +229,7 @@ def mixed_documents(
 
     Texts are not shuffled unless there are too many sources for a broadcast by Spark's own check.
     """
-    columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("row"))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     inner = [f"row.{c}" for c in (id_col, text_col, source_col)]
     keyed = _keyed(packed, *inner)
     slim = materialised(keyed.select("mix.*"), "mixing-rows")

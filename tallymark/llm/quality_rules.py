@@ -52,8 +52,8 @@ def _without(text: str, chars: str) -> Column:
     return F.translate(F.col(text), chars, "")
 
 
-def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts of every text: id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """docs packed into a column `row`, and the counts of every text: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     n_lines, n_stop_words, n_shouts, n_bullet_lines, n_ellipsis_lines.
 
     Repeated windows are found by sorting their 64-bit hashes, and only for texts that have any.
@@ -61,11 +61,12 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     words = F.split(F.btrim("text", F.lit(BLANKS)), f"[{SPACE}]+")
     lines = F.filter(F.split("text", "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")
     df = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
-    df = df.select("id", "text", words.alias("found"), lines.alias("lines"))
+    df = df.select("row", "text", words.alias("found"), lines.alias("lines"))
     df = df.select(
-        "id",
+        "row",
         F.when(F.col("found")[0] == "", F.expr("cast(array() as array<string>)"))
         .otherwise(F.col("found"))
         .alias("words"),
@@ -81,10 +82,10 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .cast("long")
         .alias("n_ellipsis_lines"),
     )
-    counted = [c for c in df.columns if c not in ("id", "words")]
+    counted = [c for c in df.columns if c not in ("row", "words")]
     stops = F.filter("words", lambda w: F.lower(w).isin(*dict.fromkeys(STOP_WORDS)))
     df = df.select(
-        "id",
+        "row",
         *counted,
         F.size("words").cast("long").alias("n_words"),
         F.size(stops).cast("long").alias("n_stop_words"),
@@ -96,16 +97,16 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     windows = F.transform(
         F.slice("hashes", F.lit(1), last), lambda x, i: F.xxhash64(x, *(a(i) for a in at))
     )
-    df = df.select("id", *counted, windows.alias("windows"))
+    df = df.select("row", *counted, windows.alias("windows"))
     repeats = F.size("windows") > F.size(F.array_distinct("windows"))
     located = F.transform("windows", lambda x, i: F.struct(x.alias("h"), i.alias("i")))
-    df = df.select("id", *counted, F.when(repeats, F.sort_array(located)).alias("sorted"))
+    df = df.select("row", *counted, F.when(repeats, F.sort_array(located)).alias("sorted"))
     again = F.filter(
         "sorted",
         lambda x, j: F.coalesce(F.get("sorted", j + 1)["h"] == x["h"], F.lit(False))
         | F.coalesce(F.get("sorted", j - 1)["h"] == x["h"], F.lit(False)),
     )
-    df = df.select("id", *counted, F.sort_array(F.transform(again, lambda x: x["i"])).alias("starts"))
+    df = df.select("row", *counted, F.sort_array(F.transform(again, lambda x: x["i"])).alias("starts"))
     # Each window adds what the one before it in the text has not covered.
     covered = F.aggregate(
         "starts",
@@ -115,7 +116,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         ),
         lambda acc: acc["n"],
     )
-    return df.select("id", *counted, F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
+    repeat = F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words")
+    # Behind a generator of one row: filters on these columns do not repeat the work below.
+    return df.select("row", F.inline(F.array(F.struct(*counted, repeat))))
 
 
 def ratios() -> dict[str, Column]:
@@ -150,6 +153,17 @@ def compiled(rules: tuple[Rule, ...]) -> list[Column]:
     return columns
 
 
+def _judged(docs: DataFrame, rules: tuple[Rule, ...], text_col: str) -> DataFrame:
+    """`measures` with base_failed, broken and kept."""
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    broken = F.filter(
+        F.array(*(F.when(c, F.lit(r.name)) for c, r in zip(compiled(rules), rules, strict=True))),
+        lambda x: x.isNotNull(),
+    )
+    df = measures(docs, text_col).withColumn("base_failed", failed).withColumn("broken", broken)
+    return df.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
+
+
 def quality_rules(
     docs: DataFrame,
     rules: tuple[Rule, ...] = RULES,
@@ -163,12 +177,14 @@ def quality_rules(
     Rows are judged one by one, so repeated rows get the same verdict. Columns other than id and
     text are neither read nor returned. No shuffle, no Python.
     """
+    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     counted = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    broken = F.filter(
-        F.array(*(F.when(c, F.lit(r.name)) for c, r in zip(compiled(rules), rules, strict=True))),
-        lambda x: x.isNotNull(),
-    )
-    df = measures(docs, id_col, text_col).select("id", *counted, failed.alias("base_failed"), broken.alias("broken"))
-    kept = ~F.col("base_failed") & (F.size("broken") == 0)
-    return df.withColumn("kept", kept).withColumnRenamed("id", id_col)
+    judged = _judged(slim, rules, "text")
+    return judged.select(F.col("row.id").alias(id_col), *counted, "base_failed", "broken", "kept")
+
+
+def kept_documents(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text"
+) -> DataFrame:
+    """The rows of docs that `quality_rules` keeps, with all their columns."""
+    return _judged(docs, rules, text_col).filter("kept").select("row.*")

@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tallymark.llm.bit_sliced_search import top_k_inner_products
 from tallymark.llm.common import table
+from tallymark.llm.language_id import fit_language_model, held_out, predict_language
 from tallymark.llm.minhash_dedup import near_duplicate_classes
 from tallymark.llm.mixing import fair_mix
 from tallymark.llm.packing import pack_documents
 from tallymark.llm.prefix_tokens import prefix_token_counts
+from tallymark.llm.pu_quality import fit_quality_model, score_quality
 from tallymark.llm.quality_rules import quality_rules
 from tallymark.llm.secret_scan import KINDS, scan_secrets
 from tallymark.llm.warc_revisits import crawl_log, parse_records, resolve_revisits
@@ -64,6 +67,23 @@ def op3_secret_scan(spark, d):
     )
 
 
+@query
+def op4_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    held = held_out("doc_id", 4, 2)
+    model = fit_language_model(docs.filter(~held))
+    return predict_language(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_pu_quality(spark, d):
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
+    held = held_out("doc_id", 3, 1)
+    good = labels.filter((F.col("quality") == 1) & ~held)
+    model = fit_quality_model(docs.filter(~held), good)
+    return score_quality(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 @query
 def op6_fair_mix(spark, d):
     mix = fair_mix(table(spark, d, "documents"))
@@ -105,3 +125,8 @@ def op2_warc_revisits(spark, d):
         "digest",
         F.array_join(fields, "\n").alias("headers"),
     )
+
+
+@query
+def pipeline(spark, d):
+    return corpus_pipeline.run(spark, d)

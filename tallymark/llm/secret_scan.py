@@ -262,14 +262,21 @@ def redact(text: str, spans: list[Span], mark: str) -> str:
 
 
 def redacted_documents(
-    docs: DataFrame, text_col: str = "text", alpha: float = 0.01, mark: str = "[SECRET]"
+    docs: DataFrame,
+    text_col: str = "text",
+    alpha: float = 0.01,
+    mark: str = "[SECRET]",
+    length_col: str | None = None,
 ) -> DataFrame:
     """docs with the secrets of its texts replaced; all other columns and rows as they are.
 
-    Null texts stay null.
+    Null texts stay null. `length_col`, if given and there, becomes the length of changed texts.
     """
     accepted = randomness_thresholds(docs, text_col, alpha)
-    packed = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    packed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.col(text_col).cast("string").alias("text"),
+    )
 
     def scan(batches):
         for batch in batches:
@@ -282,4 +289,10 @@ def redacted_documents(
 
     schema = f"row {packed.schema['row'].dataType.simpleString()}, text string"
     out = map_arrow(packed, scan, schema)
-    return out.select(*(F.col("text") if c == text_col else F.col(f"row.`{c}`") for c in docs.columns))
+    was = {c: F.col("row").getField(c) for c in docs.columns}
+    now = was | {text_col: F.col("text")}
+    if length_col in was:
+        same = F.col("text").eqNullSafe(was[text_col])
+        kind = docs.schema[length_col].dataType
+        now[length_col] = F.when(same, was[length_col]).otherwise(F.length("text").cast(kind))
+    return out.select(*(column.alias(c) for c, column in now.items()))
