@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import materialised
-from tallymark.operators.rows import fresh_rows
+from tallymark.operators.rows import fresh_rows, pinned
 
 #: Query parameters that do not select content.
 TRACKING = ("ref", "sessionid", "phpsessid", "jsessionid", "fbclid", "gclid")
@@ -46,32 +46,40 @@ def canonical_url(url: str) -> Column:
         & ~F.lower(p).startswith("utm_"),
     )
     query = F.array_join(F.array_sort(kept), "&")
-    return F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
+    # A question mark in front, unless there is no query.
+    return F.concat(host, path, F.regexp_replace(query, r"^(?=.)", "?"))
 
 
-def header_fields(block: Column) -> Column:
-    """A block of `Name: value` lines after a start line -> array of (name, value) by name.
+def with_header_fields(df: DataFrame, block: str, out: str) -> DataFrame:
+    """Add `out`: a block of `Name: value` lines after a start line as (name, value) by name.
 
-    Names are in lower case; fields that come more than once are joined by a comma, in order.
+    Names are in lower case; fields that come more than once are joined by a comma, in order. A
+    null block has no fields. Every step is computed once a row.
     """
     lines = F.filter(F.split(block, "\r?\n"), lambda x: x.rlike(r"^[!-9;-~]+\s*:"))
     fields = F.transform(
         lines,
         lambda x: F.struct(
-            F.lower(F.regexp_extract(x, r"^([^:\s]+)", 1)).alias("name"),
-            F.regexp_extract(x, r"^[^:]*:\s*(.*?)\s*$", 1).alias("value"),
+            F.lower(F.rtrim(F.substring_index(x, ":", 1))).alias("name"),
+            F.btrim(F.substr(x, F.instr(x, ":") + 1), F.lit(" \t")).alias("value"),
         ),
     )
-    names = F.array_sort(F.array_distinct(F.transform(fields, lambda x: x["name"])))
-    return F.transform(
-        names,
+    none = F.expr("cast(array() as array<struct<name: string, value: string>>)")
+    df = pinned(df, found=F.coalesce(fields, none))
+    names = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["name"])))
+    df = pinned(df, names=names)
+    joined = F.transform(
+        "names",
         lambda n: F.struct(
             n.alias("name"),
             F.array_join(
-                F.transform(F.filter(fields, lambda x: x["name"] == n), lambda x: x["value"]), ", "
+                F.transform(F.filter("found", lambda x: x["name"] == n), lambda x: x["value"]), ", "
             ).alias("value"),
         ),
     )
+    once = F.size("names") == F.size("found")
+    grouped = F.when(once, F.sort_array("found")).otherwise(joined)
+    return df.withColumn(out, grouped).drop("found", "names")
 
 
 def field(fields: str | Column, name: str) -> Column:
@@ -86,11 +94,12 @@ def parse_records(records: DataFrame, text_col: str = "record") -> DataFrame:
     record_id, kind, url, date, status, digest, fields. What a record lacks is null; a null or
     malformed record has a null kind.
     """
-    blocks = F.split(F.col(text_col), "\r?\n\r?\n", 2)
-    df = records.select(
-        header_fields(F.get(blocks, 0)).alias("warc"), F.get(blocks, 1).alias("http")
+    blocks = pinned(
+        records.select(F.col(text_col).alias("record")),
+        blocks=F.split(F.col("record"), "\r?\n\r?\n", 2),
     )
-    df = df.select("warc", "http", F.coalesce(header_fields(F.col("http")), F.array()).alias("fields"))
+    df = blocks.select(F.get("blocks", 0).alias("head"), F.get("blocks", 1).alias("http"))
+    df = with_header_fields(with_header_fields(df, "head", "warc"), "http", "fields")
     return df.select(
         field("warc", "warc-record-id").alias("record_id"),
         field("warc", "warc-type").alias("kind"),
@@ -98,7 +107,7 @@ def parse_records(records: DataFrame, text_col: str = "record") -> DataFrame:
         F.try_to_timestamp(field("warc", "warc-date"), F.lit("yyyy-MM-dd'T'HH:mm:ssX")).alias("date"),
         F.expr("try_cast(regexp_extract(http, '^HTTP/[0-9.]+ ([0-9]{3})', 1) as int)").alias("status"),
         field("warc", "warc-payload-digest").alias("digest"),
-        F.col("fields").cast("array<struct<name: string, value: string>>").alias("fields"),
+        "fields",
     )
 
 
@@ -166,7 +175,9 @@ def resolve_revisits(captures: DataFrame, bucket_seconds: int = 86_400) -> DataF
     no_response; response_id and digest are those of the latest earlier response, `fields` is
     merged if resolved and null otherwise. Repeated revisits are resolved each.
     """
-    named = captures.withColumn("key", canonical_url("url"))
+    columns = ["record_id", "kind", "date", "status", "digest", "fields"]
+    named = captures.filter("kind in ('response', 'revisit')")
+    named = materialised(named.select(*columns, canonical_url("url").alias("key")), "warc-captures")
     full = named.filter("kind = 'response' and status = 200 and key is not null and date is not null")
     response = F.struct("record_id", "digest", "fields")
     full = full.groupBy("key", "date").agg(F.max(response).alias("response"))
