@@ -9,11 +9,15 @@ from pyspark.sql import functions as F
 def summable(value: Column, scale: int | None) -> Column:
     """The value as whole units of 10**-scale, so that its sum is exact in any row order.
 
-    With no scale the value is summed as it is.
+    Nothing is rounded: a value with more decimals fails the job. With no scale the value is
+    summed as it is; DECIMAL columns are exact that way too.
     """
     if scale is None:
         return value
-    return F.rint(value * F.lit(float(10**scale))).cast("bigint")
+    units = F.rint(value * F.lit(float(10**scale)))
+    exact = units / F.lit(float(10**scale)) == value.cast("double")
+    refused = F.raise_error(F.lit(f"a value has more than {scale} decimals")).cast("bigint")
+    return F.when(value.isNull() | exact, units.cast("bigint")).otherwise(refused)
 
 
 def unscaled(total: Column, scale: int | None) -> Column:
@@ -30,7 +34,8 @@ def two_decimals(value: Column, ties: str = "up") -> Column:
     """Text with two decimals; null stays null.
 
     `ties="up"` rounds the shortest decimal form half up, as `%.2f` does on the JVM.
-    `ties="even"` rounds the exact binary value, exact ties to even, as Python and C do.
+    `ties="even"` rounds the exact binary value, exact ties to even, as Python and C do, for
+    values whose hundredths stay below 2**53 (beyond, doubles have no decimals to round).
     """
     if ties == "up":
         rounded = value.cast("double")

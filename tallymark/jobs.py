@@ -17,7 +17,7 @@ from tallymark.plans import movies as m
 from tallymark.plans import reports
 from tallymark.plans import reviews as r
 from tallymark.plans import shop as s
-from tallymark.sources import read_csv, write_delimited, write_text
+from tallymark.sources import read_csv, read_csv_columns, write_delimited, write_text
 from tallymark.streaming import ingest_ndjson, read_ndjson_stream
 
 Inputs = dict[str, list[str]]
@@ -141,28 +141,27 @@ def _category_words(spark, p, args):
     return r.top_words_by_category(*_reviews(spark, p), args.sentiment, args.top)
 
 
-def _csv(spark, p, name):
-    return read_csv(spark, p[name])
+def _csv(spark, p, args, *names):
+    """The named inputs, with the declared columns or, if asked for, inferred types."""
+    if args.infer:
+        return [read_csv(spark, p[n]) for n in names]
+    return [read_csv_columns(spark, p[n], s.SCHEMAS[n]) for n in names]
 
 
 def _shop(fn, *names):
-    return Job(
-        names, lambda spark, p, args: fn(*[_csv(spark, p, n) for n in names]), write_delimited
-    )
+    return Job(names, lambda spark, p, args: fn(*_csv(spark, p, args, *names)), write_delimited)
 
 
 def _category_revenue(spark, p, args):
-    names = ("orders", "items", "products")
-    return s.category_revenue(*[_csv(spark, p, n) for n in names], args.year)
+    return s.category_revenue(*_csv(spark, p, args, "orders", "items", "products"), args.year)
 
 
 def _product_stats(spark, p, args):
-    return s.product_stats(_csv(spark, p, "items"), _csv(spark, p, "reviews"), args.salts)
+    return s.product_stats(*_csv(spark, p, args, "items", "reviews"), args.salts)
 
 
 def _score_report(spark, p, args):
-    scores = _csv(spark, p, "reviews")
-    return reports.score_lines(s.average_score(scores), s.score_distribution(scores))
+    return reports.score_lines(s.score_summary(*_csv(spark, p, args, "reviews")))
 
 
 RATED = ("ratings", "movies")
@@ -198,14 +197,28 @@ JOBS: dict[str, Job] = {
 }
 
 
+def _check_inputs(name: str, wanted: tuple[str, ...], paths: Inputs) -> None:
+    missing = [i for i in wanted if i not in paths]
+    if missing:
+        raise ValueError(f"{name} needs the inputs {missing}")
+    unknown = sorted(set(paths) - set(wanted))
+    if unknown:
+        raise ValueError(f"{name} has no inputs {unknown}, only {list(wanted)}")
+
+
+def _positive(text: str) -> int:
+    number = int(text)
+    if number < 1:
+        raise argparse.ArgumentTypeError("must be at least 1")
+    return number
+
+
 def run_job(spark: SparkSession, name: str, paths: Inputs, out: str, **options) -> None:
     """Run one job; `paths` maps each of its inputs to its files."""
     job = JOBS[name]
-    missing = [i for i in job.inputs if i not in paths]
-    if missing:
-        raise ValueError(f"{name} needs the inputs {missing}")
+    _check_inputs(name, job.inputs, paths)
     defaults = {"support": 5, "rows": 20, "top": 5, "sentiment": None, "year": 2024, "salts": 1}
-    args = argparse.Namespace(**{**defaults, **options})
+    args = argparse.Namespace(**{**defaults, "infer": False, **options})
     job.write(job.run(spark, paths, args), out)
 
 
@@ -218,7 +231,12 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--rows", type=int, default=20)
     parser.add_argument("--top", type=int, default=5)
     parser.add_argument("--year", type=int, default=2024)
-    parser.add_argument("--salts", type=int, default=1, help="split hot join keys this often")
+    parser.add_argument(
+        "--salts", type=_positive, default=1, help="split hot join keys this often"
+    )
+    parser.add_argument(
+        "--infer", action="store_true", help="infer the types of CSV inputs (one more pass)"
+    )
     parser.add_argument("--sentiment", choices=r.SENTIMENTS)
     parser.add_argument("--schema", help="DDL of the JSON objects")
     parser.add_argument("--checkpoint", help="checkpoint folder of the stream")
@@ -226,15 +244,24 @@ def main(argv: list[str] | None = None) -> None:
     paths: Inputs = {}
     for item in args.pop("input"):
         name, _, path = item.partition("=")
+        if not path:
+            parser.error(f"--input {item} is not NAME=PATH")
         paths.setdefault(name, []).append(path)
+    job, out = args.pop("job"), args.pop("out")
+    schema, checkpoint = args.pop("schema"), args.pop("checkpoint")
+    ingest = job == "ingest-json"
+    if ingest and not (schema and checkpoint):
+        parser.error("ingest-json needs --schema and --checkpoint")
+    try:
+        _check_inputs(job, ("lines",) if ingest else JOBS[job].inputs, paths)
+    except ValueError as error:
+        parser.error(str(error))
     # What spark-submit was given stands; the web page is off unless asked for.
     conf = SparkConf().setIfMissing("spark.ui.enabled", "false")
-    conf.setIfMissing("spark.app.name", f"tallymark {args['job']}")
+    conf.setIfMissing("spark.app.name", f"tallymark {job}")
     spark = SparkSession.builder.config(conf=conf).getOrCreate()
-    job, out = args.pop("job"), args.pop("out")
-    schema, checkpoint = args.pop("schema"), args.pop("checkpoint")
-    if job == "ingest-json":
-        stream = read_ndjson_stream(spark, paths["lines"][0], schema)
+    if ingest:
+        stream = read_ndjson_stream(spark, paths["lines"], schema)
         ingest_ndjson(stream, out, checkpoint).awaitTermination()
     else:
         run_job(spark, job, paths, out, **args)

@@ -158,17 +158,23 @@ def count_by(df: DataFrame, keys: str | Sequence[str], id_col: str, name: str =
     return df.groupBy(*_keys(keys)).agg(F.count(id_col).alias(name))
 
 
-def distinct_totals(df: DataFrame, cols: dict[str, str], count_null: bool = True) -> DataFrame:
+def distinct_totals(
+    df: DataFrame, cols: dict[str, str], count_null: bool = True, rows: str | None = None
+) -> DataFrame:
     """One row (`metric`, `total`) per entry of `{metric: column}`: its distinct values.
 
-    `count_null=True` counts null as one value.
+    `count_null=True` counts null as one value. `rows` names a first metric: the number of rows.
+    One scan, however many metrics.
     """
-    totals = None
+    found = {}
+    if rows is not None:
+        found[rows] = F.count(F.lit(1))
     for metric, col in cols.items():
-        values = df.select(col).distinct()
-        if not count_null:
-            values = values.filter(F.col(col).isNotNull())
-        row = values.agg(F.count(F.lit(1)).alias("total"))
-        row = row.select(F.lit(metric).alias("metric"), "total")
-        totals = row if totals is None else totals.unionByName(row)
-    return totals
+        null = F.coalesce(F.max(F.col(col).isNull().cast("bigint")), F.lit(0))
+        found[metric] = F.countDistinct(col) + (null if count_null else 0)
+    one = df.agg(*[total.alias(metric) for metric, total in found.items()])
+    pairs = [
+        F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").cast("bigint").alias("total"))
+        for m in found
+    ]
+    return one.select(F.inline(F.array(*pairs)))

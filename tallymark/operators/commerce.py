@@ -6,15 +6,19 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-from tallymark.functions import mean, summable, unscaled, year_range
+from tallymark.functions import mean, year_range
 from tallymark.operators.joins import lookup
 from tallymark.operators.rows import fresh_rows
 
 
 def in_year(df: DataFrame, ts: str, year: int) -> DataFrame:
-    """Rows whose timestamp or date column lies in the year."""
-    return df.filter(year_range(F.col(ts), df.select(ts).schema[0].dataType, year))
+    """Rows whose timestamp or date column lies in the year; a column of another type is refused."""
+    dtype = df.select(ts).schema[0].dataType
+    if not isinstance(dtype, (DateType, TimestampType, TimestampNTZType)):
+        raise ValueError(f"{ts} is {dtype.simpleString()}, not a date or timestamp")
+    return df.filter(year_range(F.col(ts), dtype, year))
 
 
 def valid_scores(
@@ -31,15 +35,15 @@ def revenue_by(
     keys: Sequence[str],
     price: str,
     freight: str,
-    scale: int | None = 2,
     distinct: str | None = None,
 ) -> DataFrame:
-    """Price plus freight per group as `total_revenue`, to two decimals.
+    """Price plus freight per group as `total_revenue`, summed as they are, rounded to cents at last.
 
-    With `distinct`, also the number of distinct values of that column as `total_orders`.
+    DECIMAL columns are summed exactly, in any row order. With `distinct`, also the number of
+    distinct values of that column as `total_orders`.
     """
-    revenue = F.sum(summable(F.col(price) + F.col(freight), scale))
-    aggs = [F.round(unscaled(revenue, scale), 2).alias("total_revenue")]
+    revenue = F.sum(F.col(price) + F.col(freight))
+    aggs = [F.round(revenue, 2).cast("double").alias("total_revenue")]
     if distinct is not None:
         aggs.append(F.countDistinct(distinct).alias("total_orders"))
     return df.groupBy(*keys).agg(*aggs)
@@ -52,15 +56,16 @@ def revenue_by_lookup(
     attr: str,
     price: str,
     freight: str,
-    scale: int | None = 2,
 ) -> DataFrame:
     """Price plus freight per attribute of the joined dimension row, as `total_revenue`.
 
+    Summed as in `revenue_by`.
+
     Items are summed by the join key first: the join sees each key once, however hot it is.
     """
-    revenue = F.sum(summable(F.col(price) + F.col(freight), scale)).alias("_sum")
+    revenue = F.sum(F.col(price) + F.col(freight)).alias("_sum")
     joined = items.groupBy(key).agg(revenue).join(dim.select(key, attr), key)
-    total = F.round(unscaled(F.sum("_sum"), scale), 2)
+    total = F.round(F.sum("_sum"), 2).cast("double")
     return joined.groupBy(attr).agg(total.alias("total_revenue"))
 
 

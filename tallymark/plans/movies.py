@@ -3,7 +3,8 @@
 Inputs are typed frames: ratings(user_id, movie_id, rating, ts), movies(movie_id, title, genres),
 users(user_id, gender, age, occupation, zip), occupations(occupation, name).
 `scale=2` sums ratings as exact hundredths; without it they are summed as they are.
-`salts` splits hot users over that many tasks, see `lookup`.
+`salts` splits hot users over that many tasks, and `hot` lets the adaptive split do so, see
+`lookup`.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from tallymark.operators import (
     best_with_min_support,
     bucketed_avg_wide,
     conditional_avg,
+    fresh_rows,
     lookup,
+    one_per_key,
 )
 from tallymark.sources import read_delimited
 
@@ -80,7 +83,7 @@ def best_movie(
 ) -> DataFrame:
     """The best-rated movie among those with at least `support` ratings: one row or none."""
     best = best_with_min_support(ratings, "movie_id", "rating", support, scale)
-    return attach_title(best, movies, "movie_id", "title")
+    return attach_title(best, movies, "movie_id", "title", few=True)
 
 
 def genre_averages(
@@ -101,10 +104,15 @@ def gender_averages_wide(
     labels: dict[str, str] | None = None,
     scale: int | None = None,
     salts: int = 1,
+    hot: bool = False,
 ) -> DataFrame:
     """Male and female mean per movie; ratings by anyone else count in neither."""
     labels = labels or {"male": "M", "female": "F"}
-    rated = lookup(ratings, users, "user_id", ["gender"], "inner", True, salts)
+    # Users of another label are dropped before the join, after one row per user is picked.
+    picked = one_per_key(users.select("user_id", "gender"), "user_id")
+    wanted = picked.filter(F.upper("gender").isin([x.upper() for x in labels.values()]))
+    wanted = fresh_rows(wanted) if hot else wanted
+    rated = lookup(ratings, wanted, "user_id", ["gender"], "inner", salts=salts)
     wide = conditional_avg(rated, "movie_id", "gender", labels, "rating", scale)
     return attach_title(wide, movies, "movie_id", "title")
 
@@ -115,10 +123,11 @@ def age_band_averages_wide(
     users: DataFrame,
     scale: int | None = None,
     salts: int = 1,
+    hot: bool = False,
 ) -> DataFrame:
     """Mean per movie and age band, one column per band; unrated movies stay, with nulls."""
     bands = users.select("user_id", bucketize(F.col("age"), *FOUR_BANDS).alias("band"))
-    rated = lookup(ratings, bands, "user_id", ["band"], "inner", True, salts)
+    rated = lookup(ratings, bands, "user_id", ["band"], "inner", True, salts, hot)
     titles = movies.select("movie_id", "title")
     return bucketed_avg_wide(rated, titles, "movie_id", "band", FOUR_BANDS.labels, "rating", scale)
 

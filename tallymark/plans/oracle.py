@@ -6,6 +6,7 @@ from tallymark.plans.tables import STOPWORDS
 
 
 def _avg(value: str) -> str:
+    """An exact mean of values of at most two decimals; the query fails on others."""
     return f"CAST(sum(CAST({value} AS DECIMAL(18,2))) AS DOUBLE) / count({value})"
 
 
@@ -93,6 +94,72 @@ FROM events"""
 _SHIP = "CAST(epoch(l_shipdate) AS BIGINT)"
 _TOP_BY_CATEGORY = _top_words(_CLEAN)
 
+_FOUR_LABELS = ("0-18", "18-35", "35-50", "50+")
+
+
+def _two(column: str, missing: str) -> str:
+    """Two decimals, ties up in the shortest decimal form."""
+    rounded = f'round(CAST(CAST("{column}" AS VARCHAR) AS DECIMAL(38,18)), 2)'
+    return f"coalesce(CAST(CAST({rounded} AS DECIMAL(38,2)) AS VARCHAR), '{missing}')"
+
+
+def _place(order: str) -> str:
+    return f"CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS place"
+
+
+_ORDERS = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority FROM orders"""
+_EVENTS = """
+SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props
+FROM events"""
+_EVENTS_AND_REJECTS = f"""
+SELECT *, CAST(NULL AS VARCHAR) AS reject FROM ({_EVENTS}) WHERE event_type <> 'error'
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{{"event_id":' || event_id || ',"user_id":'
+FROM events WHERE event_type = 'error'"""
+_PAIR = f"""
+SELECT movie_id, male, female, coalesce(p_name, 'Unknown') AS title FROM (
+  SELECT movie_id, {_wide("male", "upper(gender) = 'MACHINERY'")},
+         {_wide("female", "upper(gender) = 'FURNITURE'")}
+  FROM ({_USER_RATINGS}) JOIN ({_USERS}) USING (user_id)
+  WHERE upper(gender) IN ('MACHINERY', 'FURNITURE') GROUP BY movie_id)
+LEFT JOIN part ON movie_id = p_partkey"""
+_UNRATED = f"""
+SELECT c_custkey AS movie_id, c_name AS title, "0-18", "18-35", "35-50", "50+" FROM customer
+LEFT JOIN (
+  SELECT movie_id, {_FOUR_WIDE} FROM (
+    SELECT movie_id, rating, {_FOUR} AS band FROM (
+      SELECT user_id AS movie_id, value AS rating, CAST({_K} AS INTEGER) AS age FROM events))
+  GROUP BY movie_id) ON c_custkey = movie_id"""
+_EVENT_KNOWN = f"""
+SELECT movie_id, avg, n, n_name AS title FROM (
+  SELECT movie_id, {_avg("rating")} AS avg, count(rating) AS n
+  FROM ({_EVENT_RATINGS}) GROUP BY movie_id)
+JOIN nation ON movie_id = n_nationkey"""
+_YEARS = f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {_avg("o_totalprice")} AS avg,
+       count(o_totalprice) AS n FROM orders GROUP BY 1"""
+_MONTHS = """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year,
+       CAST(month(o_orderdate) AS INTEGER) AS order_month, count(*) AS n
+FROM orders GROUP BY 1, 2"""
+_COUNTRIES = """
+SELECT n_name AS customer_country, count(*) AS n FROM orders
+JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+GROUP BY n_name"""
+_CATEGORY = """
+SELECT p_type AS product_category_name,
+       round(sum(l_extendedprice + l_tax), 2) AS total_revenue
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
+WHERE year(o_orderdate) = 1997 GROUP BY p_type"""
+_FIRST_GENDERS = f"""
+SELECT *, {_place("movie_id, marked")} FROM (
+  SELECT *, CASE WHEN gender = 'MACHINERY' THEN 'Male' ELSE 'Female' END AS label,
+         encode(CASE WHEN gender = 'MACHINERY' THEN 'M' ELSE gender END) AS marked
+  FROM ({_GENDER_LONG}))
+ORDER BY movie_id, marked LIMIT 20"""
+
 ORACLE: dict[str, str] = {
     "rating_summary": _ITEM_SUMMARY,
     "rating_summary_unmatched": f"""
@@ -103,31 +170,15 @@ LEFT JOIN nation ON movie_id = n_nationkey""",
     "best_with_min_support": f"""
 SELECT * FROM ({_ITEM_SUMMARY}) WHERE n >= 5 ORDER BY avg DESC, movie_id LIMIT 1""",
     "avg_by_multivalue": _GENRES,
-    "conditional_avg_pair": f"""
-SELECT movie_id, male, female, coalesce(p_name, 'Unknown') AS title FROM (
-  SELECT movie_id, {_wide("male", "upper(gender) = 'MACHINERY'")},
-         {_wide("female", "upper(gender) = 'FURNITURE'")}
-  FROM ({_USER_RATINGS}) JOIN ({_USERS}) USING (user_id)
-  WHERE upper(gender) IN ('MACHINERY', 'FURNITURE') GROUP BY movie_id)
-LEFT JOIN part ON movie_id = p_partkey""",
+    "conditional_avg_pair": _PAIR,
     "bucketed_avg_wide": f"""
 SELECT p_partkey AS movie_id, p_name AS title, "0-18", "18-35", "35-50", "50+" FROM part
 LEFT JOIN (
   SELECT movie_id, {_FOUR_WIDE}
   FROM ({_USER_RATINGS}) JOIN (SELECT user_id, {_FOUR} AS band FROM ({_USERS})) USING (user_id)
   GROUP BY movie_id) ON p_partkey = movie_id""",
-    "bucketed_avg_unrated": f"""
-SELECT c_custkey AS movie_id, c_name AS title, "0-18", "18-35", "35-50", "50+" FROM customer
-LEFT JOIN (
-  SELECT movie_id, {_FOUR_WIDE} FROM (
-    SELECT movie_id, rating, {_FOUR} AS band FROM (
-      SELECT user_id AS movie_id, value AS rating, CAST({_K} AS INTEGER) AS age FROM events))
-  GROUP BY movie_id) ON c_custkey = movie_id""",
-    "summary_agg_then_join": f"""
-SELECT movie_id, avg, n, n_name AS title FROM (
-  SELECT movie_id, {_avg("rating")} AS avg, count(rating) AS n
-  FROM ({_EVENT_RATINGS}) GROUP BY movie_id)
-JOIN nation ON movie_id = n_nationkey""",
+    "bucketed_avg_unrated": _UNRATED,
+    "summary_agg_then_join": _EVENT_KNOWN,
     "avg_by_item_and_group": _GENDER_LONG,
     "relabelled_groups": """
 SELECT CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Male' ELSE 'Female' END AS gender,
@@ -150,9 +201,7 @@ LEFT JOIN nation ON occupation = n_nationkey""",
     "lookup_unmatched": f"""
 SELECT movie_id, rating, n_name AS title FROM ({_EVENT_RATINGS})
 LEFT JOIN nation ON movie_id = n_nationkey""",
-    "summary_by_epoch_year": f"""
-SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {_avg("o_totalprice")} AS avg,
-       count(o_totalprice) AS n FROM orders GROUP BY 1""",
+    "summary_by_epoch_year": _YEARS,
     "clean_tokens": f"SELECT id, aspect, category, sentiment, word FROM ({_CLEAN})",
     "clean_tokens_stopword_table": f"""
 SELECT id, aspect, category, sentiment, word FROM ({_WORDS.format(reviews=_REVIEWS)})
@@ -177,30 +226,21 @@ SELECT source AS aspect, count(doc_id) AS num_comments FROM documents GROUP BY s
 SELECT 'total_orders' AS metric, count(*) AS total FROM orders
 UNION ALL SELECT 'total_customers', count(*) FROM (SELECT DISTINCT o_custkey FROM orders)
 UNION ALL SELECT 'total_sellers', count(*) FROM (SELECT DISTINCT l_suppkey FROM lineitem)""",
-    "orders_by_country": """
-SELECT n_name AS customer_country, count(*) AS n FROM orders
-JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
-GROUP BY n_name""",
-    "orders_by_month": """
-SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year,
-       CAST(month(o_orderdate) AS INTEGER) AS order_month, count(*) AS n
-FROM orders GROUP BY 1, 2""",
+    "orders_by_country": _COUNTRIES,
+    "orders_by_month": _MONTHS,
     "score_distribution": f"""
 SELECT score, count(*) AS n FROM ({_SCORES}) WHERE score BETWEEN 1 AND 5 GROUP BY score""",
     "average_score": f"""
 SELECT CAST(sum(score) AS DOUBLE) / count(score) AS avg, count(score) AS n
 FROM ({_SCORES}) WHERE score BETWEEN 1 AND 5""",
     "score_report": f"""
-SELECT printf('Score %d: %d reviews', score, count(*)) AS line
-FROM ({_SCORES}) WHERE score BETWEEN 1 AND 5 GROUP BY score
-UNION ALL
-SELECT 'Average Review Score: ' || printf('%.2f', CAST(sum(score) AS DOUBLE) / count(score))
-FROM ({_SCORES}) WHERE score BETWEEN 1 AND 5""",
-    "category_revenue_in_year": """
-SELECT p_type AS product_category_name,
-       CAST(sum(CAST(l_extendedprice + l_tax AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
-FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
-WHERE year(o_orderdate) = 1997 GROUP BY p_type""",
+SELECT line, CAST(row_number() OVER (ORDER BY place) AS INTEGER) AS place FROM (
+  SELECT printf('Score %d: %d reviews', score, count(*)) AS line, score AS place
+  FROM ({_SCORES}) WHERE score BETWEEN 1 AND 5 GROUP BY score
+  UNION ALL
+  SELECT 'Average Review Score: ' || printf('%.2f', CAST(sum(score) AS DOUBLE) / count(score)), 0
+  FROM ({_SCORES}) WHERE score BETWEEN 1 AND 5 HAVING count(*) > 0)""",
+    "category_revenue_in_year": _CATEGORY,
     # The mean is rounded half up in whole numbers: no double is rounded.
     "fanout_pair_stats": f"""
 SELECT product_id, total_sold, CAST((200 * s + c) // (2 * c) AS DOUBLE) / 100 AS average_score
@@ -210,7 +250,7 @@ FROM (
   FROM lineitem JOIN ({_SCORES}) ON l_suppkey = order_id GROUP BY l_partkey)""",
     "seller_stats": """
 SELECT l_suppkey AS seller_id,
-       CAST(sum(CAST(l_extendedprice + l_tax AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue,
+       round(sum(l_extendedprice + l_tax), 2) AS total_revenue,
        count(DISTINCT l_orderkey) AS total_orders
 FROM lineitem GROUP BY l_suppkey""",
     "delimited_lenient": """
@@ -231,34 +271,81 @@ FROM lineitem WHERE l_linenumber IN (6, 7)""",
     "delimited_declared": f"""
 SELECT TRY_CAST(f[1] AS INTEGER) AS id, f[2] AS review, f[3] AS aspect, f[4] AS category,
        f[5] AS sentiment
-FROM (SELECT string_split(id || ';' || translate(review, chr(13) || chr(10), '  ') || ';' ||
-                          aspect || ';' || category || ';' || sentiment, ';') AS f
-      FROM ({_FELT}))
-WHERE f[5] IN ('positive', 'negative', 'neutral')""",
+FROM (SELECT list_transform(string_split(
+        CASE WHEN doc_id % 7 = 3 THEN '' ELSE CAST(doc_id AS VARCHAR) END || ';' ||
+        coalesce(translate(text, chr(13) || chr(10), '  '), '') || ';' || coalesce(source, '')
+        || ';' || coalesce(lang, '') || ';' ||
+        coalesce(['positive', 'negative', 'neutral', 'mixed'][n_chars % 4 + 1], ''), ';'),
+        lambda x: nullif(x, '')) AS f
+      FROM documents)
+WHERE f[1] <> 'id' AND f[5] IN ('positive', 'negative', 'neutral')""",
     "union_inputs": _ITEM_SUMMARY,
     "ratings_from_files": f"""
 SELECT CAST(movie_id AS VARCHAR) AS movie_id, avg, n, p_name AS title
 FROM ({_ITEM_MEANS}) JOIN part ON movie_id = p_partkey""",
-    "csv_with_header": """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders""",
-    "csv_with_schema": """
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    "csv_with_header": _ORDERS,
+    "csv_with_schema": _ORDERS,
+    "csv_columns_by_name": f"""
+SELECT o_orderkey, o_totalprice, o_orderdate FROM ({_ORDERS})""",
     "text_sink": f"""
 SELECT genre || chr(9) || 'Avg: ' || CAST(CAST(round(CAST(avg AS DECIMAL(18,6)), 2)
          AS DECIMAL(18,2)) AS VARCHAR) || ', Count: ' || n AS value FROM ({_GENRES})""",
     "delimited_sink": f"""
 SELECT category || ';' || word || ';' || frequency AS value FROM ({_TOP_BY_CATEGORY})""",
     "delimited_encode": """
-SELECT o_orderkey || ';' || o_orderstatus || ';' || o_orderpriority AS value FROM orders""",
-    "ndjson_parse": """
-SELECT event_id, user_id, event_type, value, props, CAST(NULL AS VARCHAR) AS _corrupt_record
-FROM events""",
-    "ndjson_rejects": """
-SELECT event_id, user_id, event_type, value, props, CAST(NULL AS VARCHAR) AS reject
-FROM events WHERE event_type <> 'error'
-UNION ALL
-SELECT NULL, NULL, NULL, NULL, NULL, '{"event_id":' || event_id || ',"user_id":'
-FROM events WHERE event_type = 'error'""",
-    "ndjson_stream": """
-SELECT event_id, user_id, event_type, value, props, 'good' AS kind FROM events""",
+SELECT coalesce(CAST(o_orderkey AS VARCHAR), '') || ';' ||
+       coalesce(CAST(o_custkey AS VARCHAR), '') || ';' || coalesce(o_orderstatus, '') || ';' ||
+       coalesce(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '') || ';' ||
+       coalesce(o_orderpriority, '') AS value
+FROM orders""",
+    "ndjson_parse": f"""
+SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM ({_EVENTS})""",
+    "ndjson_rejects": _EVENTS_AND_REJECTS,
+    "ndjson_stream": f"""
+SELECT *, CASE WHEN reject IS NULL THEN 'good' ELSE 'bad' END AS kind
+FROM ({_EVENTS_AND_REJECTS})""",
+    "revenue_many_decimals": """
+SELECT l_suppkey AS seller_id, CAST(round(sum(
+         CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))
+         + CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2))), 2) AS DOUBLE)
+         AS total_revenue,
+       count(DISTINCT l_orderkey) AS total_orders
+FROM lineitem GROUP BY l_suppkey""",
+    "movie_average_report": f"""
+SELECT title, 'Average rating: ' || avg || ' (Total ratings: ' || n || ')' AS line
+FROM ({_ITEM_SUMMARY})""",
+    "best_movie_report": f"""
+SELECT title, 'is the highest rated movie with an average rating of ' || avg ||
+       ' among movies with at least 5 ratings.' AS line
+FROM (SELECT * FROM ({_ITEM_SUMMARY}) WHERE n >= 5 ORDER BY avg DESC, movie_id LIMIT 1)""",
+    "gender_wide_report": f"""
+SELECT title, '  Male: ' || {_two("male", "0.00")} || ', Female: ' || {_two("female", "0.00")} AS line
+FROM ({_PAIR})""",
+    "age_band_wide_report": f"""
+SELECT title, {" || '  ' || ".join(f"'{b}: ' || {_two(b, 'NA')}" for b in _FOUR_LABELS)} AS line
+FROM ({_UNRATED})""",
+    "movie_average_blocks": f"""
+SELECT title || ': ' || chr(10) || chr(9) || '+Avg, rating: ' || avg || chr(10) || chr(9) ||
+       '+Times of rating: ' || n AS line FROM ({_EVENT_KNOWN})""",
+    "gender_blocks": f"""
+SELECT 'Movie: ' || title || ' ' || chr(10) || chr(9) || '+Gender: ' || label || chr(10) ||
+       chr(9) || '+Avg rating: ' || printf('%.2f', avg) AS line, place FROM ({_FIRST_GENDERS})""",
+    "gender_report_first": f"""
+SELECT rpad(title, 30, ' ') || ' | ' || rpad(label, 7, ' ') || ' | ' || printf('%.2f', avg) AS line,
+       place FROM ({_FIRST_GENDERS})""",
+    "genre_report": f"""
+SELECT genre, 'Avg: ' || {_two("avg", "")} || ', Count: ' || n AS line,
+       {_place("encode(genre)")} FROM ({_GENRES})""",
+    "occupation_report": f"""
+SELECT rpad(CAST(occupation AS VARCHAR), 20, ' ') || ' | ' || printf('%.2f', avg) || '        | '
+       || n AS line, {_place("n DESC, occupation")} FROM ({_CODES})""",
+    "year_report": f"""
+SELECT rpad(CAST(year AS VARCHAR), 10, ' ') || ' | ' || printf('%.2f', avg) || '        | ' || n
+       AS line, {_place("year")} FROM ({_YEARS})""",
+    "orders_by_month_ordered": f"""
+SELECT *, {_place("order_year, order_month DESC")} FROM ({_MONTHS})""",
+    "orders_by_country_ordered": f"""
+SELECT *, {_place("n DESC, encode(customer_country)")} FROM ({_COUNTRIES})""",
+    "category_revenue_ordered": f"""
+SELECT *, {_place("total_revenue DESC, encode(product_category_name)")} FROM ({_CATEGORY})""",
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallymark.functions import FIVE_BANDS, FOUR_BANDS, bucketize
@@ -19,6 +19,7 @@ from tallymark.sources import (
     delimited_lines,
     parse_delimited,
     read_csv,
+    read_csv_columns,
     reject_lines,
     write_delimited,
     write_text,
@@ -34,11 +35,26 @@ from tallymark.streaming import (
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-EVENT_SCHEMA = "event_id bigint, user_id bigint, event_type string, value double, props string"
-EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value", "props"]
+EVENT_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string"
+)
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+#: Sums go in hundredths; a value with more decimals fails the query, see `summable`.
 SCALE = 2
 
 
+def _with_ts_text(df):
+    """Timestamps as text, to the second: both engines write them alike."""
+    return df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+def _placed(df):
+    """Add `place`, the number of the row in the order that the query gives. For short results."""
+    seen = df.withColumn("_at", F.monotonically_increasing_id())
+    return seen.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+
+
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -174,6 +190,71 @@ def summary_by_epoch_year(spark, d):
     return m.year_averages(t.epoch_ratings(spark, d), SCALE)
 
 
+# ---- report lines ----------------------------------------------------------------------------
+
+
+@query
+def movie_average_report(spark, d):
+    return reports.movie_average_lines(rating_summary(spark, d))
+
+
+@query
+def best_movie_report(spark, d):
+    return reports.best_movie_lines(best_with_min_support(spark, d), 5)
+
+
+@query
+def gender_wide_report(spark, d):
+    """0.00 stands for a mean without ratings."""
+    wide = conditional_avg_pair(spark, d)
+    return reports.gender_wide_lines(wide)
+
+
+@query
+def age_band_wide_report(spark, d):
+    """NA stands for a mean without ratings."""
+    return reports.age_band_wide_lines(bucketed_avg_unrated(spark, d))
+
+
+@query
+def movie_average_blocks(spark, d):
+    return reports.movie_average_blocks(summary_agg_then_join(spark, d))
+
+
+@query
+def gender_blocks(spark, d):
+    """The first 20 rows, relabelled: one value becomes Male, any other Female."""
+    users = t.users(spark, d).replace({"MACHINERY": "M"}, subset=["gender"])
+    ratings = t.user_ratings(spark, d)
+    means = m.gender_averages_long(ratings, t.movies(spark, d), users, SCALE)
+    first = m.first_rows(means, ["movie_id", "gender"])
+    return _placed(reports.gender_blocks(m.gender_names(first)))
+
+
+@query
+def gender_report_first(spark, d):
+    users = t.users(spark, d).replace({"MACHINERY": "M"}, subset=["gender"])
+    ratings = t.user_ratings(spark, d)
+    means = m.gender_averages_long(ratings, t.movies(spark, d), users, SCALE)
+    first = m.first_rows(means, ["movie_id", "gender"])
+    return _placed(reports.gender_lines(m.gender_names(first)))
+
+
+@query
+def genre_report(spark, d):
+    return _placed(reports.genre_lines(avg_by_multivalue(spark, d)))
+
+
+@query
+def occupation_report(spark, d):
+    return _placed(reports.occupation_lines(summary_by_code(spark, d)))
+
+
+@query
+def year_report(spark, d):
+    return _placed(reports.year_lines(summary_by_epoch_year(spark, d)))
+
+
 # ---- review text -----------------------------------------------------------------------------
 
 
@@ -262,6 +343,21 @@ def orders_by_month(spark, d):
     return s.orders_by_month(t.shop_orders(spark, d))
 
 
+@query
+def orders_by_month_ordered(spark, d):
+    return _placed(orders_by_month(spark, d))
+
+
+@query
+def orders_by_country_ordered(spark, d):
+    return _placed(orders_by_country(spark, d))
+
+
+@query
+def category_revenue_ordered(spark, d):
+    return _placed(category_revenue_in_year(spark, d))
+
+
 @query
 def score_distribution(spark, d):
     return s.score_distribution(t.shop_scores(spark, d))
@@ -274,8 +370,8 @@ def average_score(spark, d):
 
 @query
 def score_report(spark, d):
-    scores = t.shop_scores(spark, d)
-    return reports.score_lines(s.average_score(scores), s.score_distribution(scores))
+    """The report's lines and their places."""
+    return _placed(reports.score_lines(s.score_summary(t.shop_scores(spark, d))))
 
 
 @query
@@ -285,6 +381,20 @@ def category_revenue_in_year(spark, d):
     )
 
 
+@query
+def revenue_many_decimals(spark, d):
+    """Revenue per seller of prices with four decimals, as DECIMAL: rounded after the sum only."""
+    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    rest = 1 - F.col("l_discount").cast("decimal(18,2)")
+    items = t.table(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("seller_id"),
+        F.col("l_orderkey").alias("order_id"),
+        (price * rest).alias("price"),
+        (price * F.col("l_tax").cast("decimal(18,2)")).alias("freight_value"),
+    )
+    return s.seller_stats(items)
+
+
 @query
 def fanout_pair_stats(spark, d):
     return s.product_stats(t.items_by_seller(spark, d), t.shop_scores(spark, d))
@@ -333,20 +443,24 @@ def delimited_rejects(spark, d):
 
 @query
 def delimited_declared(spark, d):
-    raw = parse_delimited(
-        t.review_lines(spark, d), r.REVIEWS, sep=";", trim=False, on_short="keep", on_bad="keep"
-    )
-    return r.known_reviews(raw)
+    """All documents as review lines; some lack the id, some a known sentiment."""
+    return r.known_reviews(parse_delimited(t.review_lines(spark, d), r.REVIEWS, **r.READING))
+
+
+def _two_parts():
+    """Conditions that part the order lines in two, whatever their status."""
+    finished = F.coalesce(F.col("l_linestatus") == "F", F.lit(False))
+    return finished, ~finished
 
 
 @query
 def union_inputs(spark, d):
     lines = t.table(spark, d, "lineitem")
     halves = [
-        lines.filter(F.col("l_linestatus") == status).select(
+        lines.filter(part).select(
             F.col("l_partkey").alias("movie_id"), F.col("l_quantity").alias("rating")
         )
-        for status in ("F", "O")
+        for part in _two_parts()
     ]
     return m.movie_averages(halves[0].unionByName(halves[1]), t.movies(spark, d), SCALE)
 
@@ -356,41 +470,54 @@ def ratings_from_files(spark, d):
     """Two rating files and a movie file written as text, read back by glob, and summarised."""
     base = scratch_path(spark, "ratings")
     lines = t.table(spark, d, "lineitem")
-    for part, status in (("ratings_1", "F"), ("ratings_2", "O")):
-        rows = lines.filter(F.col("l_linestatus") == status).select(
-            "l_orderkey", "l_partkey", "l_quantity", F.lit("0")
-        )
-        write_delimited(rows, f"{base}/{part}", ",")
+    for n, part in enumerate(_two_parts(), 1):
+        rows = lines.filter(part).select("l_orderkey", "l_partkey", "l_quantity", F.lit("0"))
+        write_delimited(rows, f"{base}/ratings_{n}", ",")
     write_delimited(t.movies(spark, d), f"{base}/movies", ",")
     ratings = m.load_ratings(spark, f"{base}/ratings_*", "strict")
     titles = m.load_movies(spark, f"{base}/movies", "exact")
     return m.movie_averages_known(ratings, titles, SCALE)
 
 
+def _with_date_text(df):
+    return df.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def csv_with_header(spark, d):
     """Orders written as semicolon CSV with a header, read back with inferred types."""
     path = scratch_path(spark, "orders-csv")
-    orders = t.table(spark, d, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"
-    )
+    orders = t.table(spark, d, "orders")
     orders.write.option("sep", ";").option("header", True).csv(path)
     read = read_csv(spark, path)
-    return read.select(
-        F.col("o_orderkey").cast("bigint").alias("o_orderkey"),
-        F.col("o_custkey").cast("bigint").alias("o_custkey"),
-        "o_orderstatus",
-        F.col("o_totalprice").cast("double").alias("o_totalprice"),
-    )
+    kinds = {f.name: f.dataType for f in orders.schema}
+    typed = read.select(*[F.col(c).cast(kinds[c]).alias(c) for c in orders.columns])
+    return _with_date_text(typed)
 
 
 @query
 def csv_with_schema(spark, d):
     """The same under a declared schema."""
     path = scratch_path(spark, "orders-csv")
-    orders = t.table(spark, d, "orders").drop("o_orderdate")
+    orders = t.table(spark, d, "orders")
     orders.write.option("sep", ";").option("header", True).csv(path)
-    return read_csv(spark, path, schema=orders.schema)
+    return _with_date_text(read_csv(spark, path, schema=orders.schema))
+
+
+@query
+def csv_columns_by_name(spark, d):
+    """Some columns under declared types, found by the header."""
+    path = scratch_path(spark, "orders-csv")
+    t.table(spark, d, "orders").write.option("sep", ";").option("header", True).csv(path)
+    columns = "O_OrderDate timestamp_ntz, O_OrderKey bigint, O_TotalPrice decimal(18,2)"
+    read = read_csv_columns(spark, path, columns)
+    return _with_date_text(
+        read.select(
+            F.col("O_OrderKey").alias("o_orderkey"),
+            F.col("O_TotalPrice").cast("double").alias("o_totalprice"),
+            F.col("O_OrderDate").alias("o_orderdate"),
+        )
+    )
 
 
 @query
@@ -414,7 +541,9 @@ def delimited_sink(spark, d):
 @query
 def delimited_encode(spark, d):
     return delimited_lines(
-        t.table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
+        _with_date_text(t.table(spark, d, "orders")).select(
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+        )
     )
 
 
@@ -424,7 +553,7 @@ def _event_lines(spark, d):
 
 @query
 def ndjson_parse(spark, d):
-    return parse_ndjson(_event_lines(spark, d), EVENT_SCHEMA)
+    return _with_ts_text(parse_ndjson(_event_lines(spark, d), EVENT_SCHEMA))
 
 
 @query
@@ -435,14 +564,24 @@ def ndjson_rejects(spark, d):
     cut = events.filter(F.col("event_type") == "error").select(
         F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":')).alias("value")
     )
-    return parse_ndjson(whole.unionByName(cut), EVENT_SCHEMA).withColumnRenamed(CORRUPT, "reject")
+    parsed = parse_ndjson(whole.unionByName(cut), EVENT_SCHEMA)
+    return _with_ts_text(parsed.withColumnRenamed(CORRUPT, "reject"))
 
 
 @query
 def ndjson_stream(spark, d):
-    """Events written as JSON lines, streamed from that folder to parquet, and read back."""
+    """Events as JSON lines in two folders, streamed to parquet, and read back.
+
+    Error events are cut short in the second folder, and a blank line follows each of them.
+    """
     base = scratch_path(spark, "events")
-    _event_lines(spark, d).write.text(f"{base}/in")
-    stream = read_ndjson_stream(spark, f"{base}/in", EVENT_SCHEMA)
+    events = t.table(spark, d, "events").select(*EVENT_COLUMNS)
+    is_error = F.coalesce(F.col("event_type") == "error", F.lit(False))
+    to_ndjson(events.filter(~is_error)).write.text(f"{base}/in_1")
+    cut = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":'))
+    lines = events.filter(is_error).select(F.explode(F.array(cut, F.lit("  "))).alias("value"))
+    lines.write.text(f"{base}/in_2")
+    stream = read_ndjson_stream(spark, [f"{base}/in_1", f"{base}/in_2"], EVENT_SCHEMA)
     ingest_ndjson(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").select(*EVENT_COLUMNS, "kind")
+    back = spark.read.parquet(f"{base}/out")
+    return _with_ts_text(back.select(*EVENT_COLUMNS, F.col(CORRUPT).alias("reject"), "kind"))

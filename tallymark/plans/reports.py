@@ -101,11 +101,9 @@ def year_lines(means: DataFrame) -> DataFrame:
     return report_line(means, COUNTED, [pad_right(_plain("year"), 10), _even("avg"), F.col("n")])
 
 
-def score_lines(average: DataFrame, distribution: DataFrame) -> DataFrame:
+def score_lines(summary: DataFrame) -> DataFrame:
     """The mean score, then the number of reviews per score."""
-    head = report_line(
-        average.withColumn("_place", F.lit(0)), SCORE_AVERAGE, [_even("avg")], ["_place"]
-    )
-    counts = distribution.withColumn("_place", F.col("score"))
-    tail = report_line(counts, SCORE_COUNT, [F.col("score"), F.col("n")], ["_place"])
-    return head.unionByName(tail).orderBy("_place").select("line")
+    head = F.format_string(SCORE_AVERAGE, _even("avg"))
+    count = F.format_string(SCORE_COUNT, F.col("score"), F.col("n"))
+    line = F.when(F.col("score").isNull(), head).otherwise(count)
+    return summary.orderBy(F.asc_nulls_first("score")).select(line.alias("line"))

@@ -16,15 +16,15 @@ STOPWORDS = "word string"
 # The sentiments that make a row a review.
 SENTIMENTS = ("positive", "negative", "neutral")
 
+# How a text input is read: an empty field is null, so a review without an id is dropped.
+READING = dict(sep=";", trim=False, on_short="keep", on_bad="keep", empty_as_null=True)
+
 Stopwords = DataFrame | Iterable[str]
 
 
 def load_reviews(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Semicolon-separated reviews; the header row and rows of no known sentiment are dropped."""
-    raw = read_delimited(
-        spark, paths, REVIEWS, sep=";", trim=False, on_short="keep", on_bad="keep"
-    )
-    return known_reviews(raw)
+    return known_reviews(read_delimited(spark, paths, REVIEWS, **READING))
 
 
 def known_reviews(raw: DataFrame) -> DataFrame:
@@ -38,11 +38,11 @@ def load_stopwords(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def clean_words(
-    reviews: DataFrame, stopwords: Stopwords, delims: str = WORD_DELIMS
+    reviews: DataFrame, stopwords: Stopwords, delims: str = WORD_DELIMS, salts: int = 1
 ) -> DataFrame:
     """One row per word that is not a stopword. No shuffle unless the stopword table is large."""
     words = tokenize(reviews, "review", ["id", "aspect", "category", "sentiment"], delims=delims)
-    return drop_stopwords(words, stopwords)
+    return drop_stopwords(words, stopwords, salts=salts)
 
 
 def word_counts(

@@ -1,6 +1,7 @@
 """Shop queries over orders, order items, reviews, products and customers.
 
 Column names are those of the shop's files; Spark resolves them without regard to case.
+`SCHEMAS` declares the files, with money as DECIMAL so that sums are exact.
 """
 
 from __future__ import annotations
@@ -19,14 +20,21 @@ from tallymark.operators import (
     valid_scores,
 )
 
+# The columns of the shop's files that the queries use, and their types.
+SCHEMAS = {
+    "customers": "Customer_Trx_ID string, Customer_Country string",
+    "orders": "Order_ID string, Customer_Trx_ID string, Order_Purchase_Timestamp timestamp",
+    "items": "Order_ID string, Product_ID string, Seller_ID string, Price decimal(28,10), "
+    "Freight_Value decimal(28,10)",
+    "reviews": "Order_ID string, Review_Score string",
+    "products": "Product_ID string, Product_Category_Name string",
+}
+
 
 def totals(orders: DataFrame, items: DataFrame) -> DataFrame:
     """Number of order rows, of distinct customers and of distinct sellers, one row each."""
-    n_orders = orders.agg(F.count(F.lit(1)).alias("total"))
-    n_orders = n_orders.select(F.lit("total_orders").alias("metric"), "total")
-    customers = distinct_totals(orders, {"total_customers": "customer_trx_id"})
-    sellers = distinct_totals(items, {"total_sellers": "seller_id"})
-    return n_orders.unionByName(customers).unionByName(sellers)
+    ordered = distinct_totals(orders, {"total_customers": "customer_trx_id"}, rows="total_orders")
+    return ordered.unionByName(distinct_totals(items, {"total_sellers": "seller_id"}))
 
 
 def orders_by_country(orders: DataFrame, customers: DataFrame) -> DataFrame:
@@ -57,13 +65,22 @@ def score_distribution(reviews: DataFrame) -> DataFrame:
     return count_by(valid_scores(reviews, "review_score"), "score", "score").orderBy("score")
 
 
+def score_summary(reviews: DataFrame) -> DataFrame:
+    """Reviews and mean per score 1 to 5, and over all of them with a null score; one scan."""
+    counts = count_by(valid_scores(reviews, "review_score"), "score", "score")
+    summed = counts.rollup("score").agg(
+        F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("avg")
+    )
+    return summed.filter("n > 0")
+
+
 def average_score(reviews: DataFrame) -> DataFrame:
     """Mean of the scores 1 to 5, one row."""
     return avg_count_by(valid_scores(reviews, "review_score"), [], "score")
 
 
 def category_revenue(
-    orders: DataFrame, items: DataFrame, products: DataFrame, year: int, scale: int | None = 2
+    orders: DataFrame, items: DataFrame, products: DataFrame, year: int
 ) -> DataFrame:
     """Price plus freight per product category over the orders of one year, most first."""
     ordered = in_year(orders, "order_purchase_timestamp", year).select("order_id")
@@ -75,7 +92,6 @@ def category_revenue(
         "product_category_name",
         "price",
         "freight_value",
-        scale,
     )
     return revenue.orderBy(F.desc("total_revenue"), "product_category_name")
 
@@ -86,7 +102,7 @@ def product_stats(items: DataFrame, reviews: DataFrame, salts: int = 1) -> DataF
     return stats.orderBy(F.desc("total_sold"), "product_id")
 
 
-def seller_stats(items: DataFrame, scale: int | None = 2) -> DataFrame:
+def seller_stats(items: DataFrame) -> DataFrame:
     """Revenue and distinct orders per seller, most first."""
-    stats = revenue_by(items, ["seller_id"], "price", "freight_value", scale, "order_id")
+    stats = revenue_by(items, ["seller_id"], "price", "freight_value", "order_id")
     return stats.orderBy(F.desc("total_revenue"), F.desc("total_orders"), "seller_id")

@@ -176,16 +176,20 @@ def rating_lines(spark: SparkSession, d: str, damaged: bool = True, sep: str = "
 
 
 def review_lines(spark: SparkSession, d: str) -> DataFrame:
-    """A header row, then labelled documents as semicolon-separated lines."""
+    """A header row, then all documents as semicolon-separated lines.
+
+    Every seventh document's line has an empty id; `n_chars` modulo 4 makes up the sentiment, of
+    which one is unknown.
+    """
     header = spark.range(1).select(F.lit("id;review;aspect;category;sentiment").alias("value"))
-    rows = felt_reviews(spark, d).select(
-        F.concat_ws(
-            ";",
-            F.col("id"),
-            F.translate("review", "\r\n", "  "),
-            "aspect",
-            "category",
-            "sentiment",
-        ).alias("value")
-    )
-    return header.unionByName(rows)
+    documents = table(spark, d, "documents")
+    made_up = [F.lit(x) for x in ("positive", "negative", "neutral", "mixed")]
+    fields = [
+        F.when(F.col("doc_id") % 7 == 3, "").otherwise(F.col("doc_id").cast("string")),
+        F.translate("text", "\r\n", "  "),
+        F.col("source"),
+        F.col("lang"),
+        F.get(F.array(*made_up), (F.col("n_chars") % 4).cast("int")),
+    ]
+    text = [F.coalesce(f, F.lit("")) for f in fields]
+    return header.unionByName(documents.select(F.concat_ws(";", *text).alias("value")))

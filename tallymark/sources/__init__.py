@@ -1,6 +1,7 @@
 from tallymark.sources.delimited import (
     parse_delimited,
     read_csv,
+    read_csv_columns,
     read_delimited,
     reject_lines,
 )
@@ -10,6 +11,7 @@ __all__ = [
     "delimited_lines",
     "parse_delimited",
     "read_csv",
+    "read_csv_columns",
     "read_delimited",
     "reject_lines",
     "write_delimited",

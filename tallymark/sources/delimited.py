@@ -32,6 +32,7 @@ def parse_delimited(
     trim: bool = True,
     on_short: str = "drop",
     on_bad: str = "drop",
+    empty_as_null: bool = False,
 ) -> DataFrame:
     """Columns of `schema` (DDL, in field order) from the `value` column of `lines`.
 
@@ -41,6 +42,7 @@ def parse_delimited(
     `trim` strips the line and each field and ignores empty fields at the end of the line.
     `on_short` says what becomes of a line with too few fields, `on_bad` of a field that does not
     parse: `drop` the line, `fail` the job, or `keep` the row with nulls.
+    `empty_as_null` reads an empty field of a string column as null.
     """
     if on_short not in POLICIES or on_bad not in POLICIES:
         raise ValueError(f"on_short and on_bad must be one of {POLICIES}")
@@ -54,7 +56,9 @@ def parse_delimited(
         elif policy == "fail":
             raised = F.raise_error(F.lit(message)).cast("boolean")
             rows = rows.filter(F.when(condition, True).otherwise(raised))
-    return rows.select(*names)
+    kinds = {f.name: f.dataType for f in StructType.fromDDL(schema).fields}
+    blank = [n for n in names if empty_as_null and isinstance(kinds[n], StringType)]
+    return rows.select(*[F.nullif(n, F.lit("")).alias(n) if n in blank else n for n in names])
 
 
 def reject_lines(
@@ -87,6 +91,23 @@ def read_csv(
     return reader.csv(path)
 
 
+def read_csv_columns(
+    spark: SparkSession, path: str | Sequence[str], columns: str, sep: str = ";"
+) -> DataFrame:
+    """The columns of a DDL, found by their names in the header row whatever their place.
+
+    Only the header line is looked at beforehand. A value that does not parse fails the job; an
+    empty one is null.
+    """
+    raw = spark.read.option("sep", sep).option("header", True).csv(path)
+    there = {c.lower() for c in raw.columns}
+    wanted = StructType.fromDDL(columns).fields
+    missing = [f.name for f in wanted if f.name.lower() not in there]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header {raw.columns}")
+    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
+
+
 def _checked(lines, schema, sep, pick, min_fields, exact, trim):
     """Typed rows with `_text` and `_n`, the two conditions a sound row meets, and its columns."""
     declared = StructType.fromDDL(schema).fields

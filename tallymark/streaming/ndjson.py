@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,28 +21,34 @@ def to_ndjson(df: DataFrame, **options) -> DataFrame:
 def parse_ndjson(lines: DataFrame, schema: str | StructType, **options) -> DataFrame:
     """Typed columns from the `value` column, batch or stream.
 
-    A line that is not such an object lands whole in `_corrupt_record`; a blank line gives nulls;
+    A line that is not such an object lands whole in `_corrupt_record`; blank lines are skipped;
     unknown fields are ignored and missing ones are null.
     """
     if isinstance(schema, str):
         schema = StructType.fromDDL(schema)
     wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **options}
-    return lines.select(F.from_json("value", wide, options).alias("_r")).select("_r.*")
+    filled = lines.filter(F.col("value").rlike(r"\S"))
+    return filled.select(F.from_json("value", wide, options).alias("_r")).select("_r.*")
 
 
 def read_ndjson_stream(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     schema: str | StructType,
     max_files: int | None = None,
     **options,
 ) -> DataFrame:
-    """A stream over the files that arrive in a directory; `max_files` bounds one batch."""
+    """A stream over the files that arrive in one or more directories.
+
+    `max_files` bounds what one batch takes of each directory.
+    """
     reader = spark.readStream.format("text")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return parse_ndjson(reader.load(path), schema, **options)
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = reduce(DataFrame.union, [reader.load(p) for p in paths])
+    return parse_ndjson(lines, schema, **options)
 
 
 def read_ndjson_socket(

@@ -174,10 +174,11 @@ def test_review_jobs(job):
     ]
     # The review with no number as id counts nowhere.
     assert job("top-words", REVIEWED, top=3) == ["giá;3", "phòng;2", "sạch;2"]
-    assert sorted(job("comments-by-category", REVIEWED)) == ["HOTEL;2", "ROOMS;2"]
-    assert sorted(job("comments-by-aspect", REVIEWED)) == ["CLEAN;2", "PRICE;2"]
-    assert job("leading-aspect", REVIEWED, sentiment="negative") == ["PRICE;negative;1"]
-    assert job("leading-aspect", REVIEWED, sentiment="positive") == ["CLEAN;positive;1"]
+    reviews = {"reviews": REVIEWED["reviews"]}
+    assert sorted(job("comments-by-category", reviews)) == ["HOTEL;2", "ROOMS;2"]
+    assert sorted(job("comments-by-aspect", reviews)) == ["CLEAN;2", "PRICE;2"]
+    assert job("leading-aspect", reviews, sentiment="negative") == ["PRICE;negative;1"]
+    assert job("leading-aspect", reviews, sentiment="positive") == ["CLEAN;positive;1"]
     assert sorted(job("category-words", REVIEWED, top=1)) == ["HOTEL;giá;2", "ROOMS;phòng;2"]
     assert sorted(job("category-words", REVIEWED, top=1, sentiment="positive")) == [
         "HOTEL;giá;1", "ROOMS;sạch;2",
@@ -239,3 +240,32 @@ def test_json_lines_are_plain_json(spark):
     df = spark.createDataFrame([("a\n\"b\"", 1)], "message string, n int")
     line = to_ndjson(df).first().value
     assert "\n" not in line and json.loads(line) == {"message": 'a\n"b"', "n": 1}
+
+
+def test_shop_columns_are_found_by_name_and_summed_before_rounding(job):
+    items = ["Extra;Price;Seller_ID;Freight_Value;Order_ID;Product_ID", *["x;0.333;s1;0;o1;p1"] * 9]
+    assert job("seller-stats", {"items": [items]}) == ["s1;3.0;1"]
+    assert job("seller-stats", {"items": [items]}, infer=True) == ["s1;3.0;1"]
+    with pytest.raises(ValueError, match="Price"):
+        job("seller-stats", {"items": [["Order_ID;Product_ID;Seller_ID;Freight_Value", "o;p;s;1"]]})
+
+
+def test_unknown_and_incomplete_arguments_are_refused(job, capsys):
+    with pytest.raises(ValueError, match="stopwords"):
+        job("comments-by-aspect", REVIEWED)
+    for wrong in (
+        ["seller-stats", "--input", "item=x", "--out", "o"],
+        ["seller-stats", "--input", "items", "--out", "o"],
+        ["seller-stats", "--input", "items=x", "--out", "o", "--salts", "0"],
+        ["ingest-json", "--input", "lines=x", "--out", "o", "--schema", "a int"],
+        ["ingest-json", "--out", "o", "--schema", "a int", "--checkpoint", "c"],
+    ):
+        with pytest.raises(SystemExit):
+            main(wrong)
+    capsys.readouterr()
+
+
+def test_reviews_without_an_id_are_dropped(job):
+    reviews = [["id;review;aspect;category;sentiment", ";good room;A;C;positive", "2;good;A;C;positive"]]
+    lines = job("clean-words", {"reviews": reviews, "stopwords": [["the"]]})
+    assert lines == ["2;good;A;C;positive"]

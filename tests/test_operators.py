@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tallymark.operators import (
     attach_title,
@@ -197,8 +198,12 @@ def test_stopwords_as_list_or_table(frame):
     assert rows(drop_stopwords(tokens, words)) == want
     assert rows(drop_stopwords(tokens, table)) == want
     assert rows(drop_stopwords(tokens, [])) == rows(tokens)
+    long = [*words, *(f"w{i}" for i in range(20_000))]
+    assert rows(drop_stopwords(tokens, long)) == want
+    assert rows(drop_stopwords(tokens, frame([(w,) for w in long], "w string"))) == want
+    assert rows(drop_stopwords(tokens, table, salts=3)) == want
     with pytest.raises(ValueError):
-        drop_stopwords(tokens, (f"w{i}" for i in range(10_001)))
+        drop_stopwords(tokens, table, salts=0)
 
 
 def test_valid_scores(frame):
@@ -222,7 +227,45 @@ def test_revenue_ignores_incomplete_rows(frame):
     )
     got = revenue_by(df, ["k"], "p", "f", distinct="o")
     assert rows(got) == [("a", 1.45, 1), ("b", None, 1)]
-    assert rows(revenue_by(df, ["k"], "p", "f", scale=None)) == [("a", 1.45), ("b", None)]
+    assert rows(revenue_by(df, ["k"], "p", "f")) == [("a", 1.45), ("b", None)]
+
+
+def test_revenue_is_rounded_after_the_sum(frame):
+    for kind in ("double", "decimal(28,10)"):
+        items = frame([("s", "o", "p", "0.333", "0.0")] * 9, "s string, o string, p string, v string, f string")
+        items = items.withColumns({c: F.col(c).cast(kind) for c in ("v", "f")})
+        assert rows(revenue_by(items, ["s"], "v", "f", distinct="o")) == [("s", 3.0, 1)]
+        dim = frame([("p", "c")], "p string, c string")
+        assert rows(revenue_by_lookup(items, dim, "p", "c", "v", "f")) == [("c", 3.0)]
+
+
+def test_hundredths_refuse_further_decimals(frame):
+    df = frame([("a", 1.25), ("a", None), ("b", 0.1)], "k string, v double")
+    assert rows(avg_count_by(df, "k", "v", 2)) == [("a", 1.25, 1), ("b", 0.1, 1)]
+    with pytest.raises(Exception, match="more than 2 decimals"):
+        avg_count_by(df.union(frame([("b", 0.333)], "k string, v double")), "k", "v", 2).collect()
+    with pytest.raises(ValueError, match="not a date"):
+        in_year(df, "k", 2024)
+
+
+@pytest.mark.parametrize("salts", [0, -1])
+def test_salts_below_one_are_refused(frame, salts):
+    df = frame([("a", 1)], "k string, g int")
+    with pytest.raises(ValueError):
+        lookup(df, df.withColumnRenamed("g", "h"), "k", ["h"], salts=salts)
+
+
+def test_one_per_key_is_the_same_both_ways(frame):
+    dim = frame([("a", 1, None), ("a", 1, "x"), ("a", None, "z"), ("b", None, None), (None, 2, "n")],
+                "k string, g int, h string")
+    assert rows(one_per_key(dim, "k")) == rows(one_per_key(dim, "k", many=True))
+
+
+def test_totals_in_one_pass_count_null_once(frame):
+    df = frame([("a",), (None,), (None,), ("b",)], "k string")
+    assert rows(distinct_totals(df, {"d": "k"}, rows="n")) == [("d", 3), ("n", 4)]
+    assert rows(distinct_totals(df, {"d": "k"}, count_null=False)) == [("d", 2)]
+    assert rows(distinct_totals(df.filter("k = 'x'"), {"d": "k"}, rows="n")) == [("d", 0), ("n", 0)]
 
 
 def test_revenue_by_lookup(frame):

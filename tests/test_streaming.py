@@ -20,9 +20,10 @@ def test_batch_parse(lines):
     assert got.columns == ["message", "n", CORRUPT]
     assert got.collect()[0] == ("hi", 1, None)
     assert got.collect()[1] == (None, None, "{broken")
-    assert got.collect()[2] == (None, None, None)
-    assert got.collect()[3] == ("x", None, None)
-    assert got.collect()[4][2] == '{"n":"no"}'
+    # The blank line is skipped.
+    assert got.collect()[2] == ("x", None, None)
+    assert got.collect()[3][2] == '{"n":"no"}'
+    assert got.count() == len(LINES) - 1
 
 
 def test_round_trip(spark):
@@ -50,6 +51,16 @@ def test_stream_splits_good_and_bad_and_never_repeats(spark, lines):
     assert again.count() == 3
 
 
+def test_stream_takes_several_folders_and_skips_blank_lines(spark, lines):
+    base = scratch_path(spark, "stream")
+    lines(LINES[0], "", "  \t").write.text(f"{base}/a")
+    lines('{"message":"b","n":2}', "{broken").write.text(f"{base}/b")
+    stream = read_ndjson_stream(spark, [f"{base}/a", f"{base}/b"], SCHEMA)
+    ingest_ndjson(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    out = spark.read.parquet(f"{base}/out").select("message", "n", "kind")
+    assert rows(out) == sorted([("hi", 1, "good"), ("b", 2, "good"), (None, None, "bad")], key=repr)
+
+
 def test_stream_is_stateless(spark, lines):
     base = scratch_path(spark, "stream")
     lines(LINES[0]).write.text(f"{base}/in")
