@@ -1,6 +1,10 @@
 """SQL with the same rows as the queries, where SQL can express them (DuckDB)."""
 
+from tallymark.llm.quality_rules import STOP_WORDS
+
 _WORDS = r"[^\x20\x09-\x0D]+"
+_BLANK = r"[\x20\x09-\x0D]"
+_STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 
 ORACLE: dict[str, str] = {}
 
@@ -111,3 +115,50 @@ SELECT page_id, visit, k AS canonical_url, verdict, s.id AS response_id, s.diges
            list_transform(fields, lambda y: split_part(y, ':', 1)), split_part(x, ':', 1))))), chr(10)) END AS headers
 FROM judged
 """
+
+ORACLE["op7_bit_sliced_top_k"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.e, v.e)::BIGINT AS score
+  FROM v q JOIN v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+ORACLE["op10_quality_rules"] = rf"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORDS}') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     lambda x: regexp_matches(x, '{_WORDS}')) AS l
+  FROM documents
+), grams AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i+4], ' ')) AS n
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM t)
+), repeats AS (
+  SELECT doc_id, sum(least(5, coalesce(i - before, 5)))::BIGINT AS n_repeat_words
+  FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM grams WHERE n > 1)
+  GROUP BY doc_id
+), counted AS (
+  SELECT t.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
+         len(list_filter(w, lambda x: regexp_matches(x, '[!?][!?]$'))) AS shouts,
+         len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS stops,
+         len(list_filter(l, lambda x: regexp_matches(x, '^{_BLANK}*[-*•‣◦]'))) AS bullets,
+         len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…){_BLANK}*$'))) AS dots
+  FROM t LEFT JOIN repeats USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR word_chars < 1.5 * n_words
+            OR word_chars > 40 * n_words OR n_symbols / n_words > 0.4 OR shouts / n_words > 0.4
+            OR (n_words >= 200 AND stops / n_words < 0.005) OR n_dup_lines / n_lines > 0.5
+            OR bullets / n_lines > 0.9 OR dots / n_lines > 0.5) AS kept
+FROM counted
+"""

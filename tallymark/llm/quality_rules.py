@@ -74,7 +74,7 @@ def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (F.length("text") - F.length(_without("text", SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
-        F.regexp_count("text", F.lit(f"[!?]{{2,}}(?=[{SPACE}]|$)")).cast("long").alias("n_shouts"),
+        F.regexp_count("text", F.lit(f"[!?]{{2,}}([{SPACE}]|$)")).cast("long").alias("n_shouts"),
         F.size(F.filter("lines", lambda x: F.btrim(x, F.lit(BLANKS)).rlike("^[-*•‣◦]")))
         .cast("long")
         .alias("n_bullet_lines"),
