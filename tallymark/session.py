@@ -26,8 +26,8 @@ def local_session(app: str = "tallymark", cores: str = "*", **conf) -> SparkSess
     return builder.getOrCreate()
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder all executors share (`spark.checkpoint.dir`).
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's folder in the one all executors share (`spark.checkpoint.dir`).
 
     Only a local session may fall back to this machine's temporary folder.
     """
@@ -36,4 +36,16 @@ def scratch_path(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder shared by the cluster")
         base = f"{tempfile.gettempdir()}/tallymark-scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path in the application's scratch folder."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application left in its scratch folder, once no result needs it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(path, True)

@@ -8,7 +8,7 @@ ROOT = Path(__file__).resolve().parent.parent
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "scripts"))
 
-from tallymark.session import local_session  # noqa: E402
+from tallymark.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +22,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_scratch(session)
     session.stop()
 
 

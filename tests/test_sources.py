@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.errors import PySparkException
 
-from tallymark.session import scratch_path
+from tallymark.session import clear_scratch, scratch_path
 from tallymark.sources import (
     delimited_lines,
     parse_delimited,
@@ -125,3 +125,12 @@ def test_scratch_path_is_under_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert first.startswith(base) and first != second
+
+
+def test_scratch_is_cleared(spark):
+    path = scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    clear_scratch(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    clear_scratch(spark)
