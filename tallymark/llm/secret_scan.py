@@ -9,7 +9,8 @@ Short strings of ordinary text pass such tests by chance. So the null distributi
 evidence is learned, per encoding and length class, from windows of that length over the prose
 of the whole table, folded onto the same alphabet; per class, the Benjamini-Hochberg rule then
 accepts candidates that look more random than prose of that length does. The histograms that
-this needs have a fixed size.
+this needs have a fixed size. A small table has little prose to compare with, and then adds
+few or no spans.
 """
 
 from __future__ import annotations
@@ -62,6 +63,8 @@ for _i, _a in enumerate(ENCODINGS.values()):
 #: Length classes (a candidate belongs to the greatest that it reaches) and evidence bins.
 LENGTHS = np.array([16, 18, 20, 24, 32, 40, 48, 64, 96, 128])
 BIN, BINS = 0.25, 80
+#: One random string in a thousand has more evidence against it than this (Gamma(3) tail).
+RANDOM = 11.23
 
 
 class Span(NamedTuple):
@@ -175,12 +178,14 @@ def thresholds(found: np.ndarray, prose: np.ndarray, alpha: float) -> np.ndarray
     """Greatest accepted bin per class, or -1: Benjamini-Hochberg over binned evidence.
 
     A candidate's p-value is the share of prose windows of its class that look at least as random.
+    Candidates that the battery itself rejects as random strings are never accepted.
     """
     below = prose.cumsum(1)
     p = (1 + below) / (1 + below[:, -1:])
     rank = found.cumsum(1)
     passing = (p * rank[:, -1:] <= alpha * rank) & (rank > 0)
-    return np.where(passing.any(1), BINS - 1 - passing[:, ::-1].argmax(1), -1)
+    greatest = np.where(passing.any(1), BINS - 1 - passing[:, ::-1].argmax(1), -1)
+    return np.minimum(greatest, int(RANDOM / BIN) - 1)
 
 
 def randomness_thresholds(docs: DataFrame, text_col: str = "text", alpha: float = 0.01) -> np.ndarray:
@@ -273,26 +278,29 @@ def redacted_documents(
     Null texts stay null. `length_col`, if given and there, becomes the length of changed texts.
     """
     accepted = randomness_thresholds(docs, text_col, alpha)
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     packed = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.struct(*others, F.lit(0).alias("_")).alias("row"),
         F.col(text_col).cast("string").alias("text"),
     )
 
     def scan(batches):
-        for batch in batches:
-            column = batch.column(1)
-            texts = strings(column)
-            clean = [redact(t, s, mark) if s else t for t, s in zip(texts, all_spans(texts, accepted), strict=True)]
-            null = column.is_null().to_numpy(zero_copy_only=False)
-            arrays = [batch.column(0), pa.array(clean, pa.string(), mask=null)]
-            yield pa.RecordBatch.from_arrays(arrays, ["row", "text"])
+        for whole in batches:
+            for at in range(0, len(whole), 1024):
+                batch = whole.slice(at, 1024)
+                texts = strings(batch.column(1))
+                spans = all_spans(texts, accepted)
+                clean = [redact(t, s, mark) for t, s in zip(texts, spans, strict=True)]
+                null = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+                arrays = [batch.column(0), pa.array(clean, pa.string(), mask=null)]
+                yield pa.RecordBatch.from_arrays(arrays, ["row", "text"])
 
     schema = f"row {packed.schema['row'].dataType.simpleString()}, text string"
     out = map_arrow(packed, scan, schema)
-    was = {c: F.col("row").getField(c) for c in docs.columns}
-    now = was | {text_col: F.col("text")}
-    if length_col in was:
-        same = F.col("text").eqNullSafe(was[text_col])
+    now = {c: F.col("row").getField(c) if c != text_col else F.col("text") for c in docs.columns}
+    if length_col in now:
+        changed = F.col("text").contains(mark)
         kind = docs.schema[length_col].dataType
-        now[length_col] = F.when(same, was[length_col]).otherwise(F.length("text").cast(kind))
+        length = F.length("text").cast(kind)
+        now[length_col] = F.when(changed, length).otherwise(now[length_col])
     return out.select(*(column.alias(c) for c, column in now.items()))
