@@ -17,7 +17,13 @@ from tallymark.plans import movies as m
 from tallymark.plans import reports
 from tallymark.plans import reviews as r
 from tallymark.plans import shop as s
-from tallymark.sources import read_csv, read_csv_columns, write_delimited, write_text
+from tallymark.sources import (
+    read_csv,
+    read_csv_columns,
+    reject_lines,
+    write_delimited,
+    write_text,
+)
 from tallymark.streaming import ingest_ndjson, read_ndjson_stream
 
 Inputs = dict[str, list[str]]
@@ -116,6 +122,15 @@ def _year_report(spark, p, args):
     return reports.year_lines(m.year_averages(_ratings(spark, p, "lenient", True)))
 
 
+def _rejects(name, schema, pick):
+    """The lines of an input that the lenient reports leave out, and why."""
+
+    def run(spark, p, args):
+        return reject_lines(spark.read.text(p[name]), schema, pick=pick, trim=False)
+
+    return Job((name,), run, write_text)
+
+
 def _reviews(spark, p):
     return r.load_reviews(spark, p["reviews"]), r.load_stopwords(spark, p["stopwords"])
 
@@ -181,6 +196,9 @@ JOBS: dict[str, Job] = {
         ("ratings", "users", "occupations"), _occupation_names, write_delimited
     ),
     "year-report": Job(("ratings",), _year_report, write_text),
+    "rating-rejects": _rejects("ratings", m.RATINGS, ["user_id", "movie_id", "rating"]),
+    "movie-rejects": _rejects("movies", m.MOVIES, ["movie_id", "title"]),
+    "user-rejects": _rejects("users", m.USERS, ["user_id", "age"]),
     "clean-words": Job(REVIEWED, _clean_words, write_delimited),
     "top-words": Job(REVIEWED, _top_words, write_delimited),
     "comments-by-category": Job(("reviews",), _comments("category"), write_delimited),

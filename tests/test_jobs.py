@@ -269,3 +269,9 @@ def test_reviews_without_an_id_are_dropped(job):
     reviews = [["id;review;aspect;category;sentiment", ";good room;A;C;positive", "2;good;A;C;positive"]]
     lines = job("clean-words", {"reviews": reviews, "stopwords": [["the"]]})
     assert lines == ["2;good;A;C;positive"]
+
+
+def test_rejected_lines_can_be_written(job):
+    ratings = ["u1,m1,4.0,0", "u1,m1", "u1,m1,x,0"]
+    assert job("rating-rejects", {"ratings": [ratings]}) == ["u1,m1\tshort", "u1,m1,x,0\tbad"]
+    assert job("user-rejects", {"users": [["u1,M,18,1,0", "u2,M,old,1,0"]]}) == ["u2,M,old,1,0\tbad"]
