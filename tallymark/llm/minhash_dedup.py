@@ -107,35 +107,37 @@ def signatures(
     return out
 
 
+def _signed(texts: list[str], size: int) -> tuple[pa.Array, pa.Array]:
+    """Band keys (none without words) and 16 bits of each coordinate, of every text."""
+    keys, lows, has = [], [], []
+    for a, b in chunks(texts):
+        rows, hashes, times = shingles(texts[a:b], size)
+        names = signatures(rows, hashes, times.astype(float), b - a)
+        key = np.zeros((b - a, BANDS), np.uint64)
+        for row in range(ROWS):
+            key = mixed(key ^ names[:, row::ROWS])
+        keys.append(mixed(key ^ np.arange(BANDS, dtype=np.uint64)[None, :]).view(np.int64))
+        lows.append((names & np.uint64(0xFFFF)).astype("<u2"))
+        has.append(np.bincount(rows, minlength=b - a) > 0)
+    has = np.concatenate(has)
+    offsets = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
+    bands = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(keys)[has].ravel()))
+    sketches = pa.array([x.tobytes() for low in lows for x in low], pa.binary())
+    return bands, sketches
+
+
 def _signature_table(docs: DataFrame, size: int) -> DataFrame:
     """node, bands, sketch of every document that has words (node: MD5 of the text)."""
     source = docs.select("id", "node", "text")
     id_type = source.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
-            texts = strings(batch.column(2))
-            bands, sketches = [], []
-            for a, b in chunks(texts):
-                rows, hashes, times = shingles(texts[a:b], size)
-                names = signatures(rows, hashes, times.astype(float), b - a)
-                has = np.bincount(rows, minlength=b - a) > 0
-                key = np.zeros((b - a, BANDS), np.uint64)
-                for row in range(ROWS):
-                    key = mixed(key ^ names[:, row::ROWS])
-                key = mixed(key ^ np.arange(BANDS, dtype=np.uint64)[None, :]).view(np.int64)
-                low = (names & np.uint64(0xFFFF)).astype("<u2")
-                bands += [key[i] if has[i] else [] for i in range(b - a)]
-                sketches += [low[i].tobytes() for i in range(b - a)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array(bands, pa.list_(pa.int64())),
-                    pa.array(sketches, pa.binary()),
-                ],
-                ["id", "node", "bands", "sketch"],
-            )
+        for whole in batches:
+            for at in range(0, len(whole), 1024):
+                batch = whole.slice(at, 1024)
+                bands, sketches = _signed(strings(batch.column(2)), size)
+                arrays = [batch.column(0), batch.column(1), bands, sketches]
+                yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "bands", "sketch"])
 
     return map_arrow(source, run, f"id {id_type}, node binary, bands array<long>, sketch binary")
 

@@ -69,12 +69,12 @@ def shingles(texts: list[str], size: int = 5) -> tuple[np.ndarray, np.ndarray, n
     return rows[places], hashes[places], np.diff([*places, len(rows)])
 
 
-def chunks(texts: list[str], chars: int = 1 << 20):
-    """Consecutive parts of a list of texts with about so many characters each."""
+def chunks(texts: list[str], chars: int = 1 << 18, most: int = 256):
+    """Consecutive parts of a list of texts, of about so many characters and texts at most."""
     at, size = 0, 0
     for i, text in enumerate(texts):
         size += len(text)
-        if size >= chars:
+        if size >= chars or i + 1 - at == most:
             yield at, i + 1
             at, size = i + 1, 0
     if at < len(texts):

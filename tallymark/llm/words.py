@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts whose distinct words are looked up together.
-TEXTS = 4096
+TEXTS = 1024
 
 
 class Remembered:
