@@ -237,6 +237,8 @@ def fit_quality_model(
     held_p, held_u = (p[1::2], u[1::2]) if len(p) > 1 and len(u) > 1 else (p, u)
     prior = best_bin_prior(_linear(held_p, w), _linear(held_u, w))
     w = fit_non_negative(p, u, prior)
+    # The best bin errs upwards, so no larger share of unlabelled documents may pass as good.
+    w[-1] -= max(0.0, float(np.quantile(_linear(u, w), 1 - prior)))
     return Model(mean, scale, w[:-1].astype(np.float32), float(w[-1]), prior)
 
 
