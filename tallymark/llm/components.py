@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.llm.common import materialised
+from tallymark.operators.rows import fresh_rows
 
 
 def _towards_least(edges: DataFrame, both_ways: bool) -> DataFrame:
@@ -20,7 +21,8 @@ def _towards_least(edges: DataFrame, both_ways: bool) -> DataFrame:
         near = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = near.groupBy("a").agg(F.min("b").alias("m"))
     least = least.select(F.col("a").alias("node"), F.least("a", "m").alias("m"))
-    moved = near.join(least, F.col("a") == F.col("node"))
+    # Shuffled anew, so that the join can split a node with very many neighbours.
+    moved = near.join(fresh_rows(least), F.col("a") == F.col("node"))
     if both_ways:
         out = moved.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
