@@ -136,7 +136,7 @@ def _reviews(spark, p):
 
 
 def _clean_words(spark, p, args):
-    words = r.clean_words(*_reviews(spark, p))
+    words = r.clean_words(*_reviews(spark, p), salts=args.salts)
     return words.select("id", "word", "aspect", "category", "sentiment")
 
 
