@@ -21,8 +21,8 @@ from tallymark.llm.ngrams import text_gram_counts
 
 ORDERS, BITS = (1, 2, 3), 15
 BINS = 1 << BITS
-#: Most labelled documents to fit the weights on, all languages together.
-SAMPLE = 6000
+#: Most labelled documents to fit the weights on, all languages together, and most languages.
+SAMPLE, LANGUAGES = 6000, 500
 _LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
@@ -68,7 +68,9 @@ def _sampled(docs: DataFrame, label: Column, most: int, id_col: str, text_col: s
     Rows are chosen by a hash of id and text against a rate per label, so nothing is sorted.
     """
     labelled = docs.withColumn("label", label).filter("label is not null")
-    sizes = {r.label: r.n for r in labelled.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sizes = labelled.groupBy("label").agg(F.count("*").alias("n"))
+    sizes = sizes.orderBy(F.desc("n"), "label").limit(LANGUAGES)
+    sizes = {r.label: r.n for r in sizes.collect()}
     if not sizes:
         return []
     each = max(1, most // len(sizes))
@@ -164,6 +166,7 @@ def fit_language_model(
     """Learn from the rows of docs that have a language; None if there are none.
 
     `sample` bounds the rows that weights are fitted on; document frequencies are of all rows.
+    The LANGUAGES most frequent languages are learned.
     """
     labelled = docs.filter(F.col(lang_col).isNotNull()).select(id_col, text_col, lang_col)
     rows = _sampled(labelled, F.col(lang_col).cast("string"), sample, id_col, text_col)
