@@ -19,6 +19,7 @@ from collections.abc import Iterator
 from functools import cache, lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,7 @@ from tallymark.llm.common import map_arrow, strings
 from tallymark.llm.words import TEXTS, Remembered, spread
 
 #: Words that a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 MARK = "▁"
 
 
@@ -197,8 +198,6 @@ def prefix_token_counts(
 
 def tokens_of_prefix(prefixes: str, chars: Column | int) -> Column:
     """Tokens of the first `chars` characters, from a stored `prefixes` column."""
-    import pandas as pd
-
     @F.pandas_udf("long")
     def look(packed: pd.Series, k: pd.Series) -> pd.Series:
         out = []
@@ -212,8 +211,6 @@ def tokens_of_prefix(prefixes: str, chars: Column | int) -> Column:
 
 def prefix_within(prefixes: str, budget: int) -> Column:
     """Characters of the longest prefix within a token budget, from a stored column."""
-    import pandas as pd
-
     @F.pandas_udf("long")
     def look(packed: pd.Series) -> pd.Series:
         return pd.Series([longest_within(unpack(p), budget) for p in packed], dtype="int64")
