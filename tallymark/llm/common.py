@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -34,11 +36,26 @@ def strings(column: pa.Array) -> list[str]:
         return [(x or b"").decode("utf-8", "replace") for x in raw]
 
 
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows: what is made of their texts stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def map_arrow(
     df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """`mapInArrow` under a name that reads well in the operators."""
-    return df.mapInArrow(fn, schema)
+    """`mapInArrow` whose workers give unused memory back when a task ends: they live on, and the
+    next stage's executors need it."""
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(AttributeError, OSError):  # only some C libraries have it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(run, schema)
 
 
 def prefix_sums(df: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:

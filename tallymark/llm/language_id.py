@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import map_arrow, strings
+from tallymark.llm.common import map_arrow, parts, strings
 from tallymark.llm.ngrams import text_gram_counts
 
 ORDERS, BITS = (1, 2, 3), 15
@@ -44,7 +44,7 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
 
     def run(batches):
         df, n = np.zeros(BINS, np.int64), 0
-        for batch in batches:
+        for batch in parts(batches):
             texts = strings(batch.column(0))
             n += len(texts)
             for counts in _counts(texts):
@@ -54,8 +54,8 @@ def document_frequencies(docs: DataFrame, text_col: str) -> tuple[np.ndarray, in
             [pa.array(np.append(bins, -1)), pa.array(np.append(df[bins], n))], ["bin", "n"]
         )
 
-    parts = map_arrow(docs.select(F.col(text_col).cast("string")), run, "bin long, n long")
-    found = {r.bin: r.n for r in parts.groupBy("bin").agg(F.sum("n").alias("n")).collect()}
+    counted = map_arrow(docs.select(F.col(text_col).cast("string")), run, "bin long, n long")
+    found = {r.bin: r.n for r in counted.groupBy("bin").agg(F.sum("n").alias("n")).collect()}
     n = found.pop(-1, 0)
     df = np.zeros(BINS, np.int64)
     df[list(found)] = list(found.values())
@@ -80,7 +80,7 @@ def _sampled(docs: DataFrame, label: Column, most: int, id_col: str, text_col: s
     chosen = chosen.select("label", F.xxhash64(F.lit(8), id_col, text_col).alias("h"), text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             bins, counts = [], []
             for c in _counts(strings(batch.column(2))):
                 at = np.flatnonzero(c)
@@ -201,7 +201,7 @@ def predict_language(
     id_type = source.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for batch in batches:
+        for batch in parts(batches):
             texts = strings(batch.column(1))
             found, scores = [], []
             for text, counts in zip(texts, _counts(texts), strict=True):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import map_arrow, materialised, strings
+from tallymark.llm.common import map_arrow, materialised, parts, strings
 from tallymark.llm.components import components
 from tallymark.llm.shingles import chunks, mixed, shingles, unit
 from tallymark.operators.rows import fresh_rows
@@ -35,7 +35,7 @@ K = BANDS * ROWS
 #: Pairs whose signatures agree in fewer coordinates are not verified (5.6 deviations below 0.8).
 AGREEING = int(0.6 * K)
 #: Members of a cloud compared at once with as many others.
-BLOCK = 512
+BLOCK = 256
 
 
 # ---- signatures ----------------------------------------------------------------------------------
@@ -132,12 +132,10 @@ def _signature_table(docs: DataFrame, size: int) -> DataFrame:
     id_type = source.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for whole in batches:
-            for at in range(0, len(whole), 1024):
-                batch = whole.slice(at, 1024)
-                bands, sketches = _signed(strings(batch.column(2)), size)
-                arrays = [batch.column(0), batch.column(1), bands, sketches]
-                yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "bands", "sketch"])
+        for batch in parts(batches):
+            bands, sketches = _signed(strings(batch.column(2)), size)
+            arrays = [batch.column(0), batch.column(1), bands, sketches]
+            yield pa.RecordBatch.from_arrays(arrays, ["id", "node", "bands", "sketch"])
 
     return map_arrow(source, run, f"id {id_type}, node binary, bands array<long>, sketch binary")
 
@@ -160,7 +158,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -
 
     def run(batches):
         last, held = None, None
-        for batch in batches:
+        for batch in parts(batches, 128):
             ta, tb = strings(batch.column(2)), strings(batch.column(3))
             keep = np.zeros(len(ta), bool)
             for i, (x, y) in enumerate(zip(ta, tb, strict=True)):

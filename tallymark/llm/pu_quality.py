@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import map_arrow, strings
+from tallymark.llm.common import map_arrow, parts, strings
 from tallymark.llm.ngrams import codes, gram_counts
 from tallymark.llm.shingles import chunks, shingles, word_hashes
 
@@ -192,12 +192,9 @@ def _rows(chosen: DataFrame, text_col: str) -> np.ndarray:
     """Features of a bounded number of rows, in an order that depends on their texts alone."""
 
     def run(batches):
-        for whole in batches:
-            for at in range(0, len(whole), 512):
-                batch = whole.slice(at, 512)
-                raw = [f.tobytes() for f in features(strings(batch.column(1)))]
-                arrays = [batch.column(0), pa.array(raw, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["h", "x"])
+        for batch in parts(batches):
+            raw = [f.tobytes() for f in features(strings(batch.column(1)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["h", "x"])
 
     chosen = chosen.select(F.xxhash64(text_col).alias("h"), text_col)
     rows = sorted(map_arrow(chosen, run, "h long, x binary").collect())
@@ -254,12 +251,11 @@ def score_quality(
     id_type = source.schema["id"].dataType.simpleString()
 
     def run(batches):
-        for whole in batches:
-            score = np.full(len(whole), 0.5)
-            for at in range(0, len(whole) if model else 0, 512):
-                texts = strings(whole.column(1).slice(at, 512))
-                score[at : at + 512] = _sigmoid(model.logits(features(texts)).astype(float))
-            arrays = [whole.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
+        for batch in parts(batches):
+            score = np.full(len(batch), 0.5)
+            if model:
+                score = _sigmoid(model.logits(features(strings(batch.column(1)))).astype(float))
+            arrays = [batch.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, ["id", "score", "predicted"])
 
     schema = f"id {id_type}, score double, predicted int"

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import map_arrow, strings
+from tallymark.llm.common import map_arrow, parts, strings
 
 KINDS = ("assign", "access", "hex", "random")
 _ASSIGN = re.compile(
@@ -196,24 +196,23 @@ def randomness_thresholds(docs: DataFrame, text_col: str = "text", alpha: float
     def count(batches):
         found, prose = np.zeros((2, classes, BINS), np.int64)
         kept, turn = np.zeros(0, np.uint32), 0
-        for batch in batches:
+        for batch in parts(batches):
             texts = strings(batch.column(0))
             _, c, b = candidates(texts)
             np.add.at(found, (c, b), 1)
-            for at in range(0, len(texts), 512):
-                raw = "".join("".join(texts[at : at + 512]).split()).encode("utf-32-le", "replace")
-                kept = np.concatenate([kept, np.frombuffer(raw, "<u4")])
-                prose_windows(kept, turn, prose)
-                turn += len(kept) // _BLOCK
-                kept = kept[len(kept) // _BLOCK * _BLOCK :]
+            raw = "".join("".join(texts).split()).encode("utf-32-le", "replace")
+            kept = np.concatenate([kept, np.frombuffer(raw, "<u4")])
+            prose_windows(kept, turn, prose)
+            turn += len(kept) // _BLOCK
+            kept = kept[len(kept) // _BLOCK * _BLOCK :]
         for kind, counts in enumerate((found, prose)):
             c, b = np.nonzero(counts)
             arrays = [pa.array(np.full(len(c), kind)), pa.array(c), pa.array(b), pa.array(counts[c, b])]
             yield pa.RecordBatch.from_arrays(arrays, ["kind", "class", "bin", "n"])
 
     counts = np.zeros((2, classes, BINS), np.int64)
-    parts = map_arrow(source, count, "kind long, class long, bin long, n long")
-    for r in parts.groupBy("kind", "class", "bin").agg(F.sum("n").alias("n")).collect():
+    found = map_arrow(source, count, "kind long, class long, bin long, n long")
+    for r in found.groupBy("kind", "class", "bin").agg(F.sum("n").alias("n")).collect():
         counts[r.kind, r["class"], r.bin] = r.n
     return thresholds(counts[0], counts[1], alpha)
 
@@ -244,7 +243,7 @@ def scan_secrets(
     kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.string()), ("end", pa.int64())]))
 
     def scan(batches):
-        for batch in batches:
+        for batch in parts(batches):
             spans = [
                 [{"start": s.start, "kind": KINDS[s.kind], "end": s.end} for s in found]
                 for found in all_spans(strings(batch.column(1)), accepted)
@@ -285,15 +284,13 @@ def redacted_documents(
     )
 
     def scan(batches):
-        for whole in batches:
-            for at in range(0, len(whole), 1024):
-                batch = whole.slice(at, 1024)
-                texts = strings(batch.column(1))
-                spans = all_spans(texts, accepted)
-                clean = [redact(t, s, mark) for t, s in zip(texts, spans, strict=True)]
-                null = batch.column(1).is_null().to_numpy(zero_copy_only=False)
-                arrays = [batch.column(0), pa.array(clean, pa.string(), mask=null)]
-                yield pa.RecordBatch.from_arrays(arrays, ["row", "text"])
+        for batch in parts(batches):
+            texts = strings(batch.column(1))
+            spans = all_spans(texts, accepted)
+            clean = [redact(t, s, mark) for t, s in zip(texts, spans, strict=True)]
+            null = batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            arrays = [batch.column(0), pa.array(clean, pa.string(), mask=null)]
+            yield pa.RecordBatch.from_arrays(arrays, ["row", "text"])
 
     schema = f"row {packed.schema['row'].dataType.simpleString()}, text string"
     out = map_arrow(packed, scan, schema)
