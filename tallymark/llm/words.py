@@ -22,17 +22,17 @@ class Remembered:
     def __call__(self, words: list[bytes]) -> list[bytes]:
         if len(self.new) > self.most:
             self.old, self.new = self.new, {}
-        new, old = self.new, self.old
-        missing = []
-        for w in words:
-            if w not in new:
-                got = old.get(w)
-                if got is None:
-                    missing.append(w)
-                else:
-                    new[w] = got
-        new.update(zip(missing, self.compute(missing), strict=True))
-        return [new[w] for w in words]
+        found = list(map(self.new.get, words))
+        unknown = []
+        for i in [i for i, value in enumerate(found) if value is None]:
+            found[i] = self.old.get(words[i])
+            if found[i] is None:
+                unknown.append(i)
+            else:
+                self.new[words[i]] = found[i]
+        for i, value in zip(unknown, self.compute([words[i] for i in unknown]), strict=True):
+            found[i] = self.new[words[i]] = value
+        return found
 
 
 def spread(lists: pa.Array, values: Callable[[list[bytes]], list[bytes]], kind: str) -> Iterator[np.ndarray]:
