@@ -183,7 +183,8 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     Adds block_a <= block_b and side: 0 in the first block, 1 in the second (0 where equal).
     """
     sizes = members.groupBy("cloud").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(fresh_rows(sizes), "cloud").withColumn(
+    # Written first: where the table is small, members need no shuffle by cloud to meet it.
+    dealt = members.join(materialised(sizes, "dedup-cloud-sizes"), "cloud").withColumn(
         "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     )
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
