@@ -6,8 +6,9 @@ the runs test about the middle of the alphabet, and lag-one serial correlation;
 combines their p-values into one evidence against randomness.
 
 Short strings of ordinary text pass such tests by chance. So the null distribution of the
-evidence is learned, per encoding and length class, from windows of that length over the prose
-of the whole table, folded onto the same alphabet; per class, the Benjamini-Hochberg rule then
+evidence is learned, per encoding and length class, from consecutive windows of that length over
+the prose of the whole table, folded onto the same alphabet: every text is read for every class
+that has plausible candidates, from its own start, so partitions do not matter. Per class, the Benjamini-Hochberg rule then
 accepts candidates that look more random than prose of that length does. The histograms that
 this needs have a fixed size. A small table has little prose to compare with, and then adds
 few or no spans.
@@ -18,6 +19,9 @@ from __future__ import annotations
 import re
 import string
 from collections import defaultdict
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -103,6 +107,22 @@ def _tail(z: np.ndarray) -> np.ndarray:
     return np.clip(poly * np.exp(-x * x), 1e-7, 1.0)
 
 
+def _chi_z(squares: np.ndarray, size: int, n: int) -> np.ndarray:
+    chi = size / n * squares - n
+    # Moments of the statistic for n draws, mapped to a normal by its cube root.
+    k = size - 1
+    spread = np.sqrt(2 / (9 * k) * max((n - 1) / n, 0.5))
+    return (np.cbrt(np.maximum(chi, 0) / k) - (1 - 2 / (9 * k))) / spread
+
+
+def _runs_z(ones: np.ndarray, runs: np.ndarray, n: int) -> np.ndarray:
+    zeros = n - ones
+    pairs = 2.0 * ones * zeros
+    mean = pairs / n + 1
+    var = np.maximum(pairs * (pairs - n) / (n * n * (n - 1)), 0)
+    return np.where(var > 0, (runs - mean) / np.sqrt(np.where(var > 0, var, 1)), 6.0)
+
+
 def evidence(symbols: np.ndarray, size: int) -> np.ndarray:
     """Fisher's statistic (half of it) of the three tests, for rows of equally long strings.
 
@@ -111,19 +131,9 @@ def evidence(symbols: np.ndarray, size: int) -> np.ndarray:
     rows, n = symbols.shape
     flat = (np.arange(rows)[:, None] * size + symbols).ravel()
     counts = np.bincount(flat, minlength=rows * size).reshape(rows, size)
-    chi = size / n * (counts.astype(float) ** 2).sum(1) - n
-    # Moments of the statistic for n draws, mapped to a normal by its cube root.
-    k = size - 1
-    spread = np.sqrt(2 / (9 * k) * max((n - 1) / n, 0.5))
-    z_chi = (np.cbrt(np.maximum(chi, 0) / k) - (1 - 2 / (9 * k))) / spread
+    z_chi = _chi_z((counts.astype(float) ** 2).sum(1), size, n)
     high = symbols >= size / 2
-    ones = high.sum(1)
-    zeros = n - ones
-    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
-    pairs = 2.0 * ones * zeros
-    mean = pairs / n + 1
-    var = np.maximum(pairs * (pairs - n) / (n * n * (n - 1)), 0)
-    z_runs = np.where(var > 0, (runs - mean) / np.sqrt(np.where(var > 0, var, 1)), 6.0)
+    z_runs = _runs_z(high.sum(1), 1 + (high[:, 1:] != high[:, :-1]).sum(1), n)
     x = symbols - symbols.mean(1, keepdims=True)
     power = (x * x).sum(1)
     r = np.where(power > 0, (x[:, 1:] * x[:, :-1]).sum(1) / np.where(power > 0, power, 1), 1.0)
@@ -155,20 +165,128 @@ def candidates(texts: list[str]) -> tuple[list[tuple[int, int, int]], np.ndarray
     return found, classes, bins
 
 
-_BLOCK = int(LENGTHS.sum())
+#: Characters of prose that are compared at once.
+_CHARS = 1 << 18
+#: Characters of prose that are held at once, twice at most: a multiple of all lengths.
+_PIECE = 64 * int(np.lcm.reduce(LENGTHS))
 
 
-def prose_windows(codes: np.ndarray, first: int, counts: np.ndarray) -> None:
-    """Add the evidence bins of consecutive windows of prose to counts[class, bin]."""
-    blocks = codes[: len(codes) // _BLOCK * _BLOCK].reshape(-1, _BLOCK)
-    for code, size in enumerate(_SIZES):
-        mine = blocks[(code - first) % len(_SIZES) :: len(_SIZES)].astype(np.int64) % size
-        at = 0
-        for k, n in enumerate(LENGTHS):
-            if len(mine):
-                bins = _bin(evidence(mine[:, at : at + n], size))
-                counts[code * len(LENGTHS) + k] += np.bincount(bins, minlength=BINS)
-            at += n
+@cache
+def _chi_table(size: int, n: int) -> np.ndarray:
+    """Evidence of the chi-squared test by the number of equal pairs in a string."""
+    pairs = np.arange(n * (n - 1) // 2 + 1)
+    return -np.log(_tail(_chi_z(n + 2.0 * pairs, size, n)))
+
+
+@cache
+def _runs_table(n: int) -> np.ndarray:
+    """Evidence of the runs test by symbols of the upper half * (n + 1) + changes of the half."""
+    ones, changes = np.divmod(np.arange((n + 1) * (n + 1)), n + 1)
+    return -np.log(_tail(_runs_z(ones, 1 + changes, n)))
+
+
+def _equal_pairs(windows: np.ndarray, size: int) -> np.ndarray:
+    """Pairs of equal symbols in each column."""
+    n, rows = windows.shape
+    if n >= 48:  # counting is faster than comparing
+        flat = windows + np.arange(0, rows * size, size, dtype=np.int32)
+        counts = np.bincount(flat.ravel(), minlength=rows * size).reshape(rows, size)
+        return (np.einsum("ij,ij->i", counts, counts) - n) // 2
+    same = np.empty(windows.shape, bool)
+    total = np.zeros(windows.shape, np.uint8)
+    for lag in range(1, n):
+        np.equal(windows[lag:], windows[:-lag], out=same[lag:])
+        np.add(total[lag:], same[lag:].view(np.uint8), out=total[lag:])
+    return total.sum(0, dtype=np.int32)
+
+
+def _starts(bounds: np.ndarray, n: int) -> np.ndarray:
+    """Starts of consecutive windows of each text, and of the one that ends with the text."""
+    chars = np.diff(bounds)
+    times = np.where(chars >= n, -(-chars // n), 0)
+    ends = times.cumsum()
+    turn = np.arange(times.sum()) - np.repeat(ends - times, times)
+    return np.minimum(np.repeat(bounds[:-1], times) + turn * n, np.repeat(bounds[1:], times) - n)
+
+
+def prose_windows(texts: list[str], counts: np.ndarray, wanted: np.ndarray | None = None) -> None:
+    """Add the evidence bins of the windows of texts to counts[class, bin].
+
+    Each text without its blanks is cut into consecutive windows of each length, from its start
+    on, and its last characters into one that ends with it; every window counts for every
+    encoding. Texts shorter than a length have no window of it. The counts are sums over texts.
+    If `wanted` is given, only the classes that it holds true for are counted.
+    """
+    wanted = np.ones(len(counts), bool) if wanted is None else wanted
+    wanted = wanted.reshape(-1, len(LENGTHS))
+    lengths = {size: wanted[np.array(_SIZES) == size].any(0) for size in _SIZES}
+    if not wanted.any():
+        return
+    for part in _pieces("".join(t.split()) for t in texts):
+        bounds = np.append(0, np.cumsum([len(t) for t in part], dtype=np.int64))
+        codes = np.frombuffer("".join(part).encode("utf-32-le", "replace"), "<u4")
+        starts = {k: _starts(bounds, int(LENGTHS[k])) for k in np.flatnonzero(wanted.any(0))}
+        for size, some in lengths.items():
+            if not some.any():
+                continue
+            mine = {k: starts[k] for k in np.flatnonzero(some)}
+            bins = _window_bins((codes % size).astype(np.uint8), size, mine)
+            for code in (i for i, x in enumerate(_SIZES) if x == size):
+                counts[code * len(LENGTHS) : (code + 1) * len(LENGTHS)] += bins * wanted[code][:, None]
+
+
+def _pieces(texts: Iterable[str]) -> Iterator[list[str]]:
+    """The texts in lists of some characters; long ones are cut where windows of all lengths end."""
+    part, chars = [], 0
+    for text in texts:
+        cuts = [*range(0, max(len(text) - int(LENGTHS[-1]), 0) + 1, _PIECE), len(text)]
+        for low, high in pairwise(cuts):
+            part.append(text[low:high])
+            chars += high - low
+            if chars >= _PIECE:
+                yield part
+                part, chars = [], 0
+    if chars:
+        yield part
+
+
+def _window_bins(symbols: np.ndarray, size: int, starts: dict[int, np.ndarray]) -> np.ndarray:
+    """(LENGTHS, BINS): how many of the windows have an evidence of each bin; `evidence`, but faster."""
+    half = (size + 1) // 2
+    # One running sum of four numbers: squares and products below 2**20, symbols, upper halves.
+    # Its differences are right even where it passes 64 bits.
+    s = np.arange(size)
+    packed = (s * s | s << 40 | (s >= half).astype(np.int64) << 54)[symbols]
+    products = symbols[:-1].astype(np.int32) * symbols[1:]
+    packed[1:] += products.astype(np.int64) << 20
+    sums = np.zeros(len(symbols) + 1, np.int64)
+    np.cumsum(packed, out=sums[1:])
+    out = np.zeros((len(LENGTHS), BINS), np.int64)
+    for k, all_of in starts.items():
+        n = int(LENGTHS[k])
+        if not len(all_of):
+            continue
+        runs, chi, root = _runs_table(n), _chi_table(size, n), np.sqrt(n)
+        view = np.lib.stride_tricks.sliding_window_view(symbols, n)
+        for at in range(0, len(all_of), _CHARS // n):
+            low = all_of[at : at + _CHARS // n]
+            windows = np.ascontiguousarray(view[low].T)
+            upper = windows >= half
+            changes = (upper[1:] != upper[:-1]).view(np.uint8).sum(0, dtype=np.uint8)
+            sums_of = sums[low + n] - sums[low]
+            # The product at a window's start is with the symbol before it.
+            before = np.where(low > 0, products[low - 1], 0)
+            total = sums_of >> 40 & 0x3FFF
+            # n times the sums of products of differences from the mean.
+            power = n * (sums_of & 0xFFFFF) - total * total
+            ends = windows[0].astype(np.int64) + windows[-1]
+            shared = n * ((sums_of >> 20 & 0xFFFFF) - before) - total * (2 * total - ends)
+            shared = shared + (n - 1) / n * (total * total)
+            r = np.where(power > 0, shared / np.maximum(power, 1), 1.0)
+            found = chi[_equal_pairs(windows, size)] - np.log(_tail((r + 1 / n) * root))
+            found += runs[(sums_of >> 54) * (n + 1) + changes]
+            out[k] += np.bincount(_bin(found), minlength=BINS)
+    return out
 
 
 # ---- false-discovery control ---------------------------------------------------------------------
@@ -189,32 +307,43 @@ def thresholds(found: np.ndarray, prose: np.ndarray, alpha: float) -> np.ndarray
 
 
 def randomness_thresholds(docs: DataFrame, text_col: str = "text", alpha: float = 0.01) -> np.ndarray:
-    """One pass over all texts: histograms of candidates and of prose, then the accepted bins."""
+    """Histograms of all candidates, then of all prose, then the accepted bins.
+
+    Prose is counted for the classes where some candidate could pass as random: the other classes
+    accept nothing, whatever their prose is like. Two passes over the texts, one if no candidate
+    could pass.
+    """
     source = docs.select(F.col(text_col).cast("string").alias("text"))
-    classes = len(_NAMES) * len(LENGTHS)
+
+    def add_candidates(texts, counts):
+        _, c, b = candidates(texts)
+        np.add.at(counts, (c, b), 1)
+
+    found = _histogram(source, add_candidates)
+    wanted = found[:, : int(RANDOM / BIN)].any(1)
+    prose = np.zeros_like(found)
+    if wanted.any():
+        prose = _histogram(source, lambda texts, counts: prose_windows(texts, counts, wanted))
+    return thresholds(found, prose, alpha)
+
+
+def _histogram(texts: DataFrame, add: Callable[[list[str], np.ndarray], None]) -> np.ndarray:
+    """(classes, BINS): what `add` adds for the texts, over all rows."""
+    shape = (len(_NAMES) * len(LENGTHS), BINS)
 
     def count(batches):
-        found, prose = np.zeros((2, classes, BINS), np.int64)
-        kept, turn = np.zeros(0, np.uint32), 0
+        counts = np.zeros(shape, np.int64)
         for batch in parts(batches):
-            texts = strings(batch.column(0))
-            _, c, b = candidates(texts)
-            np.add.at(found, (c, b), 1)
-            raw = "".join("".join(texts).split()).encode("utf-32-le", "replace")
-            kept = np.concatenate([kept, np.frombuffer(raw, "<u4")])
-            prose_windows(kept, turn, prose)
-            turn += len(kept) // _BLOCK
-            kept = kept[len(kept) // _BLOCK * _BLOCK :]
-        for kind, counts in enumerate((found, prose)):
-            c, b = np.nonzero(counts)
-            arrays = [pa.array(np.full(len(c), kind)), pa.array(c), pa.array(b), pa.array(counts[c, b])]
-            yield pa.RecordBatch.from_arrays(arrays, ["kind", "class", "bin", "n"])
-
-    counts = np.zeros((2, classes, BINS), np.int64)
-    found = map_arrow(source, count, "kind long, class long, bin long, n long")
-    for r in found.groupBy("kind", "class", "bin").agg(F.sum("n").alias("n")).collect():
-        counts[r.kind, r["class"], r.bin] = r.n
-    return thresholds(counts[0], counts[1], alpha)
+            add(strings(batch.column(0)), counts)
+        c, b = np.nonzero(counts)
+        arrays = [pa.array(c), pa.array(b), pa.array(counts[c, b])]
+        yield pa.RecordBatch.from_arrays(arrays, ["class", "bin", "n"])
+
+    counts = np.zeros(shape, np.int64)
+    found = map_arrow(texts, count, "class long, bin long, n long")
+    for r in found.groupBy("class", "bin").agg(F.sum("n").alias("n")).collect():
+        counts[r["class"], r.bin] = r.n
+    return counts
 
 
 def all_spans(texts: list[str], accepted: np.ndarray) -> list[list[Span]]:
@@ -235,7 +364,7 @@ def scan_secrets(
     """Per row: id, spans (array of start, kind, end; code points, end exclusive).
 
     A null text is empty and has no spans. Rows are scanned one by one; repeated rows agree.
-    Other columns are neither read nor returned. Two passes over the texts, no shuffle of them;
+    Other columns are neither read nor returned. Three passes over the texts, no shuffle of them;
     the driver holds two histograms of fixed size.
     """
     accepted = randomness_thresholds(docs, text_col, alpha)
