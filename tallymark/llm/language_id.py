@@ -66,6 +66,7 @@ def _sampled(docs: DataFrame, label: Column, most: int, id_col: str, text_col: s
     """(label, part of a hash, bins, counts) of at most about `most` rows, as many of each label.
 
     Rows are chosen by a hash of id and text against a rate per label, so nothing is sorted.
+    Repeated rows (same label, id and text) count once.
     """
     labelled = docs.withColumn("label", label).filter("label is not null")
     sizes = labelled.groupBy("label").agg(F.count("*").alias("n"))
@@ -78,6 +79,7 @@ def _sampled(docs: DataFrame, label: Column, most: int, id_col: str, text_col: s
     unit = F.pmod(F.xxhash64(F.lit(7), id_col, text_col), F.lit(1_000_003)) / 1_000_003
     chosen = labelled.withColumn("unit", unit).filter(F.col("unit") < rates[F.col("label")])
     chosen = chosen.select("label", F.xxhash64(F.lit(8), id_col, text_col).alias("h"), text_col)
+    chosen = chosen.dropDuplicates(["label", "h"])
 
     def run(batches):
         for batch in parts(batches):

@@ -188,15 +188,20 @@ def fit_non_negative(
     return _minimise(gradient, p.shape[1], steps)
 
 
-def _rows(chosen: DataFrame, text_col: str) -> np.ndarray:
-    """Features of a bounded number of rows, in an order that depends on their texts alone."""
+def _rows(chosen: DataFrame, id_col: str, text_col: str) -> np.ndarray:
+    """Features of a bounded number of rows, in an order that depends on their texts alone.
+
+    Rows repeated with the same id and text count once.
+    """
 
     def run(batches):
         for batch in parts(batches):
             raw = [f.tobytes() for f in features(strings(batch.column(1)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], ["h", "x"])
 
-    chosen = chosen.select(F.xxhash64(text_col).alias("h"), text_col)
+    once = F.xxhash64(F.lit(17), id_col, text_col).alias("once")
+    chosen = chosen.select(once, F.xxhash64(text_col).alias("h"), text_col)
+    chosen = chosen.dropDuplicates(["once", "h"]).select("h", text_col)
     rows = sorted(map_arrow(chosen, run, "h long, x binary").collect())
     return np.array([np.frombuffer(r.x, np.float32) for r in rows]).reshape(len(rows), SIZE)
 
@@ -224,8 +229,8 @@ def fit_quality_model(
     ids = _thinned(ids, positives, 11, "trusted_id")
     # At most about `positives` ids, by the rate above.
     good = docs.select(id_col, text_col).join(F.broadcast(ids), F.col(id_col) == F.col("trusted_id"))
-    p = _rows(good, text_col)
-    u = _rows(_thinned(docs.select(id_col, text_col), unlabelled, 13, id_col, text_col), text_col)
+    p = _rows(good, id_col, text_col)
+    u = _rows(_thinned(docs.select(id_col, text_col), unlabelled, 13, id_col, text_col), id_col, text_col)
     if not len(p) or not len(u):
         return None
     mean, scale = u.mean(0), u.std(0) + 0.05
