@@ -145,16 +145,33 @@ def _bin(value: np.ndarray) -> np.ndarray:
     return np.minimum((value / BIN).astype(int), BINS - 1)
 
 
+def _uncovered(start: int, end: int, spans: list[Span]) -> Iterator[tuple[int, int]]:
+    """The stretches from start to end that no span covers, of candidates' length; spans by start."""
+    for s in spans:
+        if s.start >= end:
+            break
+        if s.start - start >= LENGTHS[0]:
+            yield start, s.start
+        start = max(start, s.end)
+    if end - start >= LENGTHS[0]:
+        yield start, end
+
+
 def candidates(texts: list[str]) -> tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]:
-    """(row, start, end) of all candidates, their classes (encoding * lengths + length) and bins."""
+    """(row, start, end) of all candidates, their classes (encoding * lengths + length) and bins.
+
+    What a fixed pattern covers is cut out of a run; the rest of it are candidates of their own.
+    """
     found, groups = [], defaultdict(list)
     for row, text in enumerate(texts):
-        for m in _CANDIDATE.finditer(text):
-            word = m.group()
+        runs = list(_CANDIDATE.finditer(text))
+        spans = base_spans(text) if runs else []
+        for start, end in (x for m in runs for x in _uncovered(m.start(), m.end(), spans)):
+            word = text[start:end]
             chars = set(word)
             code = next(i for i, s in enumerate(_SETS) if chars <= s)
             groups[code, len(word)].append((len(found), word))
-            found.append((row, m.start(), m.end()))
+            found.append((row, start, end))
     classes, bins = np.zeros((2, len(found)), int)
     for (code, n), items in groups.items():
         at = [i for i, _ in items]
@@ -347,13 +364,11 @@ def _histogram(texts: DataFrame, add: Callable[[list[str], np.ndarray], None]) -
 
 
 def all_spans(texts: list[str], accepted: np.ndarray) -> list[list[Span]]:
-    """Base spans and accepted candidates that no base span overlaps, by start, then kind."""
+    """Base spans and accepted candidates, which no base span overlaps, by start, then kind."""
     spans = [base_spans(t) for t in texts]
     found, classes, bins = candidates(texts)
     for (row, start, end), c, b in zip(found, classes, bins, strict=True):
-        if b <= accepted[c] and not any(
-            s.kind < 3 and s.start < end and start < s.end for s in spans[row]
-        ):
+        if b <= accepted[c]:
             spans[row].append(Span(start, 3, end))
     return [sorted(s) for s in spans]
 
