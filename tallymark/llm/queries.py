@@ -117,7 +117,7 @@ def op2_warc_revisits(spark, d):
     found = resolve_revisits(captures)
     fields = F.transform("fields", lambda x: F.concat(x["name"], F.lit(": "), x["value"]))
     return found.select(
-        F.split("record_id", "-")[0].cast("long").alias("page_id"),
+        F.split("record_id", "-")[0].try_cast("long").alias("page_id"),
         F.split("record_id", "-")[1].cast("int").alias("visit"),
         "canonical_url",
         "verdict",

@@ -209,7 +209,8 @@ def crawl_log(pages: DataFrame) -> DataFrame:
 
     Page p is fetched at minute p of 2024, asked for a day later by another form of its URL, every
     third is changed and fetched anew after two days, all are asked for once more after three days
-    with a validator that depends on p, and every tenth was asked for a day too early.
+    with a validator that depends on p, and every tenth was asked for a day too early. A page without
+    an id is fetched and asked for twice, at no known date.
     """
     p = F.col("page_id")
     df = pages.select(
@@ -229,8 +230,9 @@ def crawl_log(pages: DataFrame) -> DataFrame:
 
     def record(number, kind, days, url, status, digest, *lines):
         head = text(
-            f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: ", p.cast("string"), f"-{number}\r\n",
-            "WARC-Date: ", when(days), "\r\n",
+            f"WARC/1.1\r\nWARC-Type: {kind}\r\n",
+            "WARC-Record-ID: ", F.coalesce(p.cast("string"), F.lit("")), f"-{number}\r\n",
+            F.coalesce(text("WARC-Date: ", when(days), "\r\n"), F.lit("")),
             F.coalesce(F.concat(F.lit("WARC-Target-URI: "), url, F.lit("\r\n")), F.lit("")),
             F.coalesce(F.concat(F.lit("WARC-Payload-Digest: md5:"), digest, F.lit("\r\n")), F.lit("")),
             f"\r\nHTTP/1.1 {status}\r\n",
