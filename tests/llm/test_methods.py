@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from conftest import rows
 from pyspark.sql import functions as F
-from test_queries import brute_classes, check_mix
+from test_llm_queries import brute_classes, check_mix
 from tokenizers import Tokenizer
 
 from tallymark.llm import minhash_dedup as dedup
