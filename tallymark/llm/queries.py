@@ -20,6 +20,7 @@ from tallymark.llm.pu_quality import fit_quality_model, score_quality
 from tallymark.llm.quality_rules import quality_rules
 from tallymark.llm.secret_scan import KINDS, scan_secrets
 from tallymark.llm.warc_revisits import crawl_log, parse_records, resolve_revisits
+from tallymark.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -111,6 +112,12 @@ def op10_quality_rules(spark, d):
     return quality_rules(table(spark, d, "documents")).drop("broken")
 
 
+@query
+def op13_whitening(spark, d):
+    rows = whiten(table(spark, d, "embeddings"))
+    return rows.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 @query
 def op2_warc_revisits(spark, d):
     captures = parse_records(crawl_log(table(spark, d, "pages")))
