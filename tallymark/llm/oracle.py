@@ -162,3 +162,88 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
             OR bullets / n_lines > 0.9 OR dots / n_lines > 0.5) AS kept
 FROM counted
 """
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+ORACLE["op12_benchmark_decontamination"] = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents
+), items AS (
+  SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS item, {_TERMS} AS w FROM benchmark
+  WHERE len({_TERMS}) > 0
+), cuts AS (
+  SELECT DISTINCT item, w[s:s + least(10, len(w)) - 1] AS g
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM items)
+), grams AS (
+  SELECT r, s, size, w[s:s + size - 1] AS g
+  FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS s
+        FROM d, (SELECT DISTINCT len(g) AS size FROM cuts))
+), hits AS (
+  SELECT r, s, size, item FROM grams JOIN cuts USING (g)
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + size)) AS p FROM hits) GROUP BY r
+), owners AS (
+  SELECT r, count(DISTINCT item) AS n_items, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY r
+), tokens AS (
+  SELECT r, unnest(w) AS t, generate_subscripts(w, 1) AS p FROM d
+), rare AS (
+  SELECT item, w, t, n, row_number() OVER (PARTITION BY item, w ORDER BY n, encode(t)) AS place
+  FROM (SELECT DISTINCT item, w, unnest(w) AS t FROM items)
+  JOIN (SELECT t, count(x.t) AS n FROM (SELECT DISTINCT unnest(w) AS t FROM items) LEFT JOIN tokens x USING (t)
+        GROUP BY t) USING (t)
+  QUALIFY place <= 3
+), places AS (
+  SELECT r, item, w, t, p, (SELECT count(*) FROM rare y WHERE y.item = x.item AND y.w = x.w) AS wanted
+  FROM rare x JOIN tokens USING (t)
+), ends AS (
+  SELECT r, item, wanted, list(t) OVER (PARTITION BY r, item, w ORDER BY p RANGE BETWEEN 9 PRECEDING AND CURRENT ROW) AS held
+  FROM places
+), near AS (
+  SELECT r, count(DISTINCT item) AS n_near FROM ends WHERE len(list_distinct(held)) = wanted GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(array_to_string(coalesce(items, []), ',')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0)::BIGINT AS n_near
+FROM d LEFT JOIN words USING (r) LEFT JOIN owners USING (r) LEFT JOIN near USING (r)
+"""
+
+ORACLE["op11_phrase_collocations"] = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), lists AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (
+  SELECT lang, sum(len(w)) AS n FROM lists GROUP BY lang
+), f AS (
+  SELECT lang, g, count(*) AS f
+  FROM (SELECT lang, w[i:i + k - 1] AS g
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM lists, range(1, 6) x(k)))
+  GROUP BY lang, g HAVING count(*) >= 100
+), candidates AS (
+  SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1
+), cuts AS (
+  SELECT c.lang, c.g, c.a, c.k, x.f AS l, y.f AS r, n,
+         (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM candidates c JOIN sizes USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[1:c.k]
+  JOIN f y ON y.lang = c.lang AND y.g = c.g[c.k + 1:]
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.g ORDER BY score, c.k) = 1
+), inner_phrases AS (
+  SELECT DISTINCT lang, g[i:i + k - 1] AS g, a
+  FROM (SELECT lang, g, a, k, unnest(range(1, len(g) - k + 2)) AS i
+        FROM (SELECT lang, g, f AS a, unnest(range(2, len(g))) AS k FROM f WHERE len(g) > 2))
+), covered AS (
+  SELECT lang, g, max(a) AS most FROM inner_phrases GROUP BY lang, g
+), ranked AS (
+  SELECT cuts.lang, array_to_string(g, ' ') AS phrase, cuts.a, l, r, n, score,
+         row_number() OVER (PARTITION BY cuts.lang
+           ORDER BY score DESC, cuts.a DESC, encode(array_to_string(g, ' '))) AS rank
+  FROM cuts LEFT JOIN covered USING (lang, g)
+  WHERE most IS NULL OR 100 * most < 100 * cuts.a
+)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n,
+       score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""

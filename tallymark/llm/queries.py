@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tallymark.llm.bit_sliced_search import top_k_inner_products
+from tallymark.llm.collocations import collocations
 from tallymark.llm.common import table
+from tallymark.llm.decontamination import decontaminate
 from tallymark.llm.language_id import fit_language_model, held_out, predict_language
 from tallymark.llm.minhash_dedup import near_duplicate_classes
 from tallymark.llm.mixing import fair_mix
@@ -112,6 +114,25 @@ def op10_quality_rules(spark, d):
     return quality_rules(table(spark, d, "documents")).drop("broken")
 
 
+@query
+def op11_phrase_collocations(spark, d):
+    return collocations(table(spark, d, "documents"))
+
+
+@query
+def op12_benchmark_decontamination(spark, d):
+    found = decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+        "n_near",
+    )
+
+
 @query
 def op13_whitening(spark, d):
     rows = whiten(table(spark, d, "embeddings"))
