@@ -67,7 +67,7 @@ def _gender_averages(spark, p, args):
     users = _users(spark, p, "trimmed", "gender")
     ratings, titles = _ratings(spark, p, "trimmed"), _movies(spark, p, "trimmed")
     return reports.gender_wide_lines(
-        m.gender_averages_wide(ratings, titles, users, salts=args.salts)
+        m.gender_averages_wide(ratings, titles, users, salts=args.salts, isolate=args.isolate)
     )
 
 
@@ -75,7 +75,7 @@ def _age_band_averages(spark, p, args):
     users = _users(spark, p, "trimmed", "age")
     ratings, titles = _ratings(spark, p, "trimmed"), _movies(spark, p, "trimmed")
     return reports.age_band_wide_lines(
-        m.age_band_averages_wide(ratings, titles, users, salts=args.salts)
+        m.age_band_averages_wide(ratings, titles, users, salts=args.salts, isolate=args.isolate)
     )
 
 
@@ -87,7 +87,7 @@ def _known_averages(spark, p, args):
 def _gender_blocks(spark, p, args):
     users = _users(spark, p, "strict", "gender")
     ratings, titles = _ratings(spark, p, "strict"), _movies(spark, p, "strict")
-    means = m.gender_averages_long(ratings, titles, users, salts=args.salts)
+    means = m.gender_averages_long(ratings, titles, users, salts=args.salts, isolate=args.isolate)
     first = m.first_rows(means, ["movie_id", "gender"], args.rows)
     return reports.gender_blocks(m.gender_names(first))
 
@@ -95,7 +95,7 @@ def _gender_blocks(spark, p, args):
 def _gender_report(spark, p, args):
     users = _users(spark, p, "lenient", "gender")
     ratings, titles = _ratings(spark, p, "lenient"), _movies(spark, p, "lenient")
-    means = m.gender_averages_long(ratings, titles, users, salts=args.salts)
+    means = m.gender_averages_long(ratings, titles, users, salts=args.salts, isolate=args.isolate)
     first = m.first_rows(means, ["movie_id", "gender"], args.rows)
     return reports.gender_lines(m.gender_names(first))
 
@@ -103,7 +103,7 @@ def _gender_report(spark, p, args):
 def _age_band_report(spark, p, args):
     users = _users(spark, p, "lenient", "age")
     ratings, titles = _ratings(spark, p, "lenient"), _movies(spark, p, "lenient")
-    means = m.age_band_averages_long(ratings, titles, users, salts=args.salts)
+    means = m.age_band_averages_long(ratings, titles, users, salts=args.salts, isolate=args.isolate)
     return reports.age_band_lines(m.first_rows(means, ["movie_id", "band"], args.rows))
 
 
@@ -136,12 +136,12 @@ def _reviews(spark, p):
 
 
 def _clean_words(spark, p, args):
-    words = r.clean_words(*_reviews(spark, p), salts=args.salts)
+    words = r.clean_words(*_reviews(spark, p), salts=args.salts, filtered=args.filter_words)
     return words.select("id", "word", "aspect", "category", "sentiment")
 
 
 def _top_words(spark, p, args):
-    return r.top_words(*_reviews(spark, p), args.top)
+    return r.top_words(*_reviews(spark, p), args.top, cut=args.cut)
 
 
 def _comments(attr):
@@ -153,7 +153,7 @@ def _leading_aspect(spark, p, args):
 
 
 def _category_words(spark, p, args):
-    return r.top_words_by_category(*_reviews(spark, p), args.sentiment, args.top)
+    return r.top_words_by_category(*_reviews(spark, p), args.sentiment, args.top, cut=args.cut)
 
 
 def _csv(spark, p, args, *names):
@@ -168,7 +168,8 @@ def _shop(fn, *names):
 
 
 def _category_revenue(spark, p, args):
-    return s.category_revenue(*_csv(spark, p, args, "orders", "items", "products"), args.year)
+    inputs = _csv(spark, p, args, "orders", "items", "products")
+    return s.category_revenue(*inputs, args.year, args.salts, args.isolate)
 
 
 def _product_stats(spark, p, args):
@@ -236,7 +237,8 @@ def run_job(spark: SparkSession, name: str, paths: Inputs, out: str, **options)
     job = JOBS[name]
     _check_inputs(name, job.inputs, paths)
     defaults = {"support": 5, "rows": 20, "top": 5, "sentiment": None, "year": 2024, "salts": 1}
-    args = argparse.Namespace(**{**defaults, "infer": False, **options})
+    flags = dict.fromkeys(("infer", "isolate", "filter_words", "cut"), False)
+    args = argparse.Namespace(**{**defaults, **flags, **options})
     job.write(job.run(spark, paths, args), out)
 
 
@@ -252,6 +254,17 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument(
         "--salts", type=_positive, default=1, help="split hot join keys this often"
     )
+    parser.add_argument(
+        "--isolate", action="store_true", help="find hot join keys and split those (one more pass)"
+    )
+    parser.add_argument(
+        "--filter-words",
+        action="store_true",
+        help="drop stopwords by a broadcast filter instead of shuffling all words (one more pass)",
+    )
+    parser.add_argument(
+        "--cut", action="store_true", help="count only words that may be among the top (one more pass)"
+    )
     parser.add_argument(
         "--infer", action="store_true", help="infer the types of CSV inputs (one more pass)"
     )

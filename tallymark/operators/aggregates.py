@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions import mean, split_fields, summable, trim_blanks
+from tallymark.operators.distinct import distinct_each, mappable
 from tallymark.operators.joins import one_per_key
+from tallymark.operators.rows import type_of
 from tallymark.operators.topk import top_n
 
 
@@ -142,15 +144,17 @@ def bucketed_avg_wide(
     labels: Sequence[str],
     value: str,
     scale: int | None = None,
+    many: bool = False,
 ) -> DataFrame:
     """Every dimension row with one mean column per bucket label; empty buckets are null.
 
-    Rows without a bucket and rows of keys the dimension lacks are left out.
+    Rows without a bucket and rows of keys the dimension lacks are left out. `many` is for a
+    dimension where very many rows share a key or have none, see `one_per_key`.
     """
     wanted = {label: F.col(bucket) == label for label in labels}
     known = fact.filter(F.col(bucket).isin(list(labels)))
     means = _labelled_means(known, key, wanted, value, scale)
-    return one_per_key(dim, key).join(means, key, "left")
+    return one_per_key(dim, key, many).join(means, key, "left")
 
 
 def count_by(df: DataFrame, keys: str | Sequence[str], id_col: str, name: str = "n") -> DataFrame:
@@ -164,15 +168,18 @@ def distinct_totals(
     """One row (`metric`, `total`) per entry of `{metric: column}`: its distinct values.
 
     `count_null=True` counts null as one value. `rows` names a first metric: the number of rows.
-    One scan, however many metrics.
+    One scan, however many metrics. Whole numbers and dates are counted by bitmaps, other types by
+    shuffling their distinct values.
     """
-    found = {}
-    if rows is not None:
-        found[rows] = F.count(F.lit(1))
-    for metric, col in cols.items():
-        null = F.coalesce(F.max(F.col(col).isNull().cast("bigint")), F.lit(0))
-        found[metric] = F.countDistinct(col) + (null if count_null else 0)
-    one = df.agg(*[total.alias(metric) for metric, total in found.items()])
+    found = [rows, *cols] if rows is not None else list(cols)
+    if all(mappable(type_of(df, col)) for col in cols.values()):
+        one = distinct_each(df, cols, count_null, rows)
+    else:
+        totals = [F.count(F.lit(1)).alias(rows)] if rows is not None else []
+        for metric, col in cols.items():
+            null = F.coalesce(F.max(F.col(col).isNull().cast("bigint")), F.lit(0))
+            totals.append((F.countDistinct(col) + (null if count_null else 0)).alias(metric))
+        one = df.agg(*totals)
     pairs = [
         F.struct(F.lit(m).alias("metric"), F.col(f"`{m}`").cast("bigint").alias("total"))
         for m in found

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from tallymark.functions import mean, year_range
+from tallymark.operators.distinct import distinct_by, mappable, numbered_values
 from tallymark.operators.joins import lookup
-from tallymark.operators.rows import fresh_rows
+from tallymark.operators.rows import fresh_rows, type_of
 
 
 def in_year(df: DataFrame, ts: str, year: int) -> DataFrame:
@@ -36,13 +37,21 @@ def revenue_by(
     price: str,
     freight: str,
     distinct: str | None = None,
+    dictionary: bool = False,
 ) -> DataFrame:
     """Price plus freight per group as `total_revenue`, summed as they are, rounded to cents at last.
 
     DECIMAL columns are summed exactly, in any row order. With `distinct`, also the number of
-    distinct values of that column as `total_orders`.
+    distinct values of that column as `total_orders`: whole numbers and dates by bitmaps, other types by
+    shuffling each value of each group or, with `dictionary`, by the bitmaps of numbers written for them.
     """
     revenue = F.sum(F.col(price) + F.col(freight))
+    if distinct is not None and (dictionary or mappable(type_of(df, distinct))):
+        if dictionary:
+            df, distinct = numbered_values(df, distinct, "_number"), "_number"
+        found = distinct_by(df, keys, distinct, "total_orders", _revenue=revenue)
+        total = F.round("_revenue", 2).cast("double").alias("total_revenue")
+        return found.select(*keys, total, "total_orders")
     aggs = [F.round(revenue, 2).cast("double").alias("total_revenue")]
     if distinct is not None:
         aggs.append(F.countDistinct(distinct).alias("total_orders"))

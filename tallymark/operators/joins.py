@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymark.operators.rows import fresh_rows
+from tallymark.operators.skew import isolating_join
 
 
 def one_per_key(dim: DataFrame, key: str, many: bool = False) -> DataFrame:
@@ -42,6 +43,7 @@ def lookup(
     unique: bool = False,
     salts: int = 1,
     hot: bool = False,
+    isolate: bool = False,
 ) -> DataFrame:
     """Add `cols` of the dimension to the fact rows.
 
@@ -51,13 +53,17 @@ def lookup(
     A hot key of the fact is left to the adaptive skew split, which goes by compressed bytes and
     may miss a key whose rows are copies of each other. `salts` splits every key over that many
     tasks instead, and repeats the dimension as often; it takes effect when the join shuffles.
+    `isolate=True` finds the hot keys first, in a pass of its own, and splits only those and the
+    null keys, see `isolating_join`; and it is safe for a dimension key that very many rows share.
     """
     if salts < 1:
         raise ValueError("salts must be at least 1")
     side = dim.select(key, *cols)
     if unique:
-        side = one_per_key(side, key)
+        side = one_per_key(side, key, many=isolate)
         side = fresh_rows(side) if hot else side
+    if isolate:
+        return isolating_join(fact, side, key, how)
     if salts == 1:
         return fact.join(side, key, how)
     # The number of the task that reads a row: the same on a retry, whatever the row order.
@@ -75,12 +81,14 @@ def attach_title(
     how: str = "left",
     default: str = "Unknown",
     few: bool = False,
+    many: bool = False,
 ) -> DataFrame:
     """Put the title on rows already aggregated by `key`, so that no key is hot.
 
     `left` keeps every key, takes one title per key and fills in `default`;
     `inner` drops keys without a title and repeats a key that has several.
-    `few=True` is for a handful of keys: one title per key is picked after the join.
+    `few=True` is for a handful of keys: one title per key is picked after the join. `many=True` is
+    for titles of which very many share a key or have none, see `one_per_key`.
     """
     if how == "inner":
         return lookup(fact_agg, dim, key, [title], "inner")
@@ -88,5 +96,5 @@ def attach_title(
     if few:
         titled = one_per_key(fact_agg.join(titles, key, "left"), key)
     else:
-        titled = fact_agg.join(one_per_key(titles, key), key, "left")
+        titled = fact_agg.join(one_per_key(titles, key, many), key, "left")
     return titled.withColumn(title, F.coalesce(F.col(title), F.lit(default)))

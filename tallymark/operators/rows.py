@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 
 def pinned(df: DataFrame, **cols: Column) -> DataFrame:
@@ -15,6 +16,11 @@ def pinned(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in cols.items()]))))
 
 
+def type_of(df: DataFrame, col: str) -> DataType:
+    """The type of a column, found as Spark finds it: without regard to case unless it is told to."""
+    return df.select(F.col(f"`{col}`")).schema[0].dataType
+
+
 def fresh_rows(df: DataFrame) -> DataFrame:
     """The same rows with their partitioning forgotten.
 

@@ -3,8 +3,8 @@
 Inputs are typed frames: ratings(user_id, movie_id, rating, ts), movies(movie_id, title, genres),
 users(user_id, gender, age, occupation, zip), occupations(occupation, name).
 `scale=2` sums ratings as exact hundredths; without it they are summed as they are.
-`salts` splits hot users over that many tasks, and `hot` lets the adaptive split do so, see
-`lookup`.
+`salts` splits hot users over that many tasks, `hot` lets the adaptive split do so, and `isolate` looks
+for hot users and null keys and splits those, see `lookup`.
 """
 
 from __future__ import annotations
@@ -105,16 +105,17 @@ def gender_averages_wide(
     scale: int | None = None,
     salts: int = 1,
     hot: bool = False,
+    isolate: bool = False,
 ) -> DataFrame:
     """Male and female mean per movie; ratings by anyone else count in neither."""
     labels = labels or {"male": "M", "female": "F"}
     # Users of another label are dropped before the join, after one row per user is picked.
-    picked = one_per_key(users.select("user_id", "gender"), "user_id")
+    picked = one_per_key(users.select("user_id", "gender"), "user_id", many=isolate)
     wanted = picked.filter(F.upper("gender").isin([x.upper() for x in labels.values()]))
     wanted = fresh_rows(wanted) if hot else wanted
-    rated = lookup(ratings, wanted, "user_id", ["gender"], "inner", salts=salts)
+    rated = lookup(ratings, wanted, "user_id", ["gender"], "inner", salts=salts, isolate=isolate)
     wide = conditional_avg(rated, "movie_id", "gender", labels, "rating", scale)
-    return attach_title(wide, movies, "movie_id", "title")
+    return attach_title(wide, movies, "movie_id", "title", many=isolate)
 
 
 def age_band_averages_wide(
@@ -124,12 +125,14 @@ def age_band_averages_wide(
     scale: int | None = None,
     salts: int = 1,
     hot: bool = False,
+    isolate: bool = False,
 ) -> DataFrame:
     """Mean per movie and age band, one column per band; unrated movies stay, with nulls."""
     bands = users.select("user_id", bucketize(F.col("age"), *FOUR_BANDS).alias("band"))
-    rated = lookup(ratings, bands, "user_id", ["band"], "inner", True, salts, hot)
+    rated = lookup(ratings, bands, "user_id", ["band"], "inner", True, salts, hot, isolate)
     titles = movies.select("movie_id", "title")
-    return bucketed_avg_wide(rated, titles, "movie_id", "band", FOUR_BANDS.labels, "rating", scale)
+    labels = FOUR_BANDS.labels
+    return bucketed_avg_wide(rated, titles, "movie_id", "band", labels, "rating", scale, many=isolate)
 
 
 def movie_averages_known(
@@ -146,9 +149,10 @@ def gender_averages_long(
     users: DataFrame,
     scale: int | None = None,
     salts: int = 1,
+    isolate: bool = False,
 ) -> DataFrame:
     """Mean per movie and gender as written in the user table, with the title."""
-    rated = lookup(ratings, users, "user_id", ["gender"], "inner", salts=salts)
+    rated = lookup(ratings, users, "user_id", ["gender"], "inner", salts=salts, isolate=isolate)
     means = avg_count_by(rated, ["movie_id", "gender"], "rating", scale)
     return attach_title(means, movies, "movie_id", "title", "inner")
 
@@ -164,11 +168,12 @@ def age_band_averages_long(
     users: DataFrame,
     scale: int | None = None,
     salts: int = 1,
+    isolate: bool = False,
 ) -> DataFrame:
     """Mean per movie and one of five age bands, with the title."""
     known = users.filter(F.col("age").isNotNull())
     bands = known.select("user_id", bucketize(F.col("age"), *FIVE_BANDS).alias("band"))
-    rated = lookup(ratings, bands, "user_id", ["band"], "inner", salts=salts)
+    rated = lookup(ratings, bands, "user_id", ["band"], "inner", salts=salts, isolate=isolate)
     means = avg_count_by(rated, ["movie_id", "band"], "rating", scale)
     return attach_title(means, movies, "movie_id", "title", "inner")
 

@@ -295,6 +295,7 @@ SELECT category || ';' || word || ';' || frequency AS value FROM ({_TOP_BY_CATEG
     "delimited_encode": """
 SELECT coalesce(CAST(o_orderkey AS VARCHAR), '') || ';' ||
        coalesce(CAST(o_custkey AS VARCHAR), '') || ';' || coalesce(o_orderstatus, '') || ';' ||
+       coalesce(CAST(o_totalprice AS VARCHAR), '') || ';' ||
        coalesce(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), '') || ';' ||
        coalesce(o_orderpriority, '') AS value
 FROM orders""",
@@ -349,3 +350,38 @@ SELECT *, {_place("n DESC, encode(customer_country)")} FROM ({_COUNTRIES})""",
     "category_revenue_ordered": f"""
 SELECT *, {_place("total_revenue DESC, encode(product_category_name)")} FROM ({_CATEGORY})""",
 }
+
+# The same rows by other plans.
+ORACLE["lookup_isolated"] = ORACLE["lookup_unmatched"]
+ORACLE["conditional_avg_isolated"] = ORACLE["conditional_avg_pair"]
+ORACLE["bucketed_avg_isolated"] = ORACLE["bucketed_avg_wide"]
+ORACLE["clean_tokens_filtered"] = ORACLE["clean_tokens_stopword_table"]
+ORACLE["category_revenue_colocated"] = ORACLE["category_revenue_in_year"]
+ORACLE["category_revenue_isolated"] = ORACLE["category_revenue_in_year"]
+ORACLE["top_words_cut"] = ORACLE["top_words"]
+ORACLE["seller_stats_text_orders"] = ORACLE["seller_stats"]
+
+ORACLE["csv_mixed_headers"] = f"""
+SELECT o_orderkey, o_orderdate, o_custkey, o_orderstatus, o_totalprice FROM ({_ORDERS})"""
+ORACLE["seller_stats_ordered"] = f"""
+SELECT *, {_place("total_revenue DESC, total_orders DESC, seller_id")} FROM ({ORACLE["seller_stats"]})"""
+ORACLE["movie_average_report_ordered"] = f"""
+SELECT title, 'Average rating: ' || avg || ' (Total ratings: ' || n || ')' AS line,
+       {_place("encode(CAST(movie_id AS VARCHAR))")} FROM ({_ITEM_SUMMARY})"""
+ORACLE["distinct_in_one_scan"] = """
+SELECT unnest(['rows', 'customers', 'days', 'orders']) AS metric,
+       unnest([count(*), count(DISTINCT o_custkey), count(DISTINCT CAST(o_orderdate AS DATE)),
+               count(DISTINCT o_orderkey)]) AS total
+FROM orders"""
+ORACLE["incremental_means"] = f"SELECT movie_id::VARCHAR AS movie_id, avg, n FROM ({_ITEM_MEANS})"
+ORACLE["orders_by_month_clustered"] = f"SELECT * FROM ({_MONTHS}) WHERE order_year = 1997"
+ORACLE["top_words_by_category_cut"] = f"""
+SELECT category, word, count(id) AS frequency
+FROM ({_WORDS.format(reviews=_REVIEWS)})
+WHERE word NOT IN (SELECT unnest(string_split(p_name, ' ')) FROM part)
+GROUP BY category, word
+QUALIFY row_number() OVER (PARTITION BY category ORDER BY frequency DESC, encode(word)) <= 5"""
+ORACLE["ndjson_sinks"] = """
+SELECT CASE WHEN event_type = 'error' THEN 'bad' ELSE 'good' END AS sink, event_id FROM events
+UNION ALL SELECT 'good rows', count(*) FROM events WHERE event_type IS DISTINCT FROM 'error'
+UNION ALL SELECT 'bad rows', count(*) FROM events WHERE event_type = 'error'"""

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark.functions import FIVE_BANDS, FOUR_BANDS, bucketize
-from tallymark.operators import count_by, lookup
+from tallymark.operators import (
+    colocated_join,
+    count_by,
+    distinct_totals,
+    lookup,
+    read_clustered,
+    read_means,
+    revenue_by_lookup,
+    update_means,
+    with_places,
+    write_clustered,
+    write_colocated,
+)
 from tallymark.plans import movies as m
 from tallymark.plans import reports
 from tallymark.plans import reviews as r
@@ -27,8 +41,10 @@ from tallymark.sources import (
 from tallymark.streaming import (
     CORRUPT,
     ingest_ndjson,
+    ingest_to_sinks,
     parse_ndjson,
     read_ndjson_stream,
+    read_sink,
     to_ndjson,
 )
 
@@ -50,9 +66,8 @@ def _with_ts_text(df):
 
 
 def _placed(df):
-    """Add `place`, the number of the row in the order that the query gives. For short results."""
-    seen = df.withColumn("_at", F.monotonically_increasing_id())
-    return seen.withColumn("place", F.row_number().over(Window.orderBy("_at"))).drop("_at")
+    """Add `place`, the number of the row in the order that the query gives."""
+    return with_places(df).withColumn("place", F.col("place").cast("int"))
 
 
 def query(fn: Query) -> Query:
@@ -185,6 +200,30 @@ def lookup_unmatched(spark, d):
     )
 
 
+@query
+def lookup_isolated(spark, d):
+    """The same where hot codes and events without one are found first and dealt to many tasks."""
+    events, titles = t.event_ratings(spark, d), t.nation_titles(spark, d)
+    return lookup(events, titles, "movie_id", ["title"], "left", True, isolate=True)
+
+
+@query
+def conditional_avg_isolated(spark, d):
+    """Means per item of two groups of users, hot users split."""
+    labels = {"male": "machinery", "female": "furniture"}
+    ratings = t.user_ratings(spark, d)
+    return m.gender_averages_wide(
+        ratings, t.movies(spark, d), t.users(spark, d), labels, SCALE, isolate=True
+    )
+
+
+@query
+def bucketed_avg_isolated(spark, d):
+    """Means per item and band, hot users split and shared item keys combined before the shuffle."""
+    ratings = t.user_ratings(spark, d)
+    return m.age_band_averages_wide(ratings, t.movies(spark, d), t.users(spark, d), SCALE, isolate=True)
+
+
 @query
 def summary_by_epoch_year(spark, d):
     return m.year_averages(t.epoch_ratings(spark, d), SCALE)
@@ -198,6 +237,13 @@ def movie_average_report(spark, d):
     return reports.movie_average_lines(rating_summary(spark, d))
 
 
+@query
+def movie_average_report_ordered(spark, d):
+    """The lines in the order of a text key: byte by byte."""
+    means = rating_summary(spark, d).withColumn("movie_id", F.col("movie_id").cast("string"))
+    return _placed(reports.movie_average_lines(means))
+
+
 @query
 def best_movie_report(spark, d):
     return reports.best_movie_lines(best_with_min_support(spark, d), 5)
@@ -273,6 +319,12 @@ def clean_tokens_stopword_table(spark, d):
     return r.clean_words(t.reviews(spark, d), _part_words(spark, d), t.DELIMS)
 
 
+@query
+def clean_tokens_filtered(spark, d):
+    """The same by a broadcast filter of the table: no word is shuffled."""
+    return r.clean_words(t.reviews(spark, d), _part_words(spark, d), t.DELIMS, filtered=True)
+
+
 @query
 def word_counts(spark, d):
     return r.word_counts(t.reviews(spark, d), t.STOPWORDS, t.DELIMS)
@@ -288,6 +340,19 @@ def top_words(spark, d):
     return r.top_words(t.reviews(spark, d), t.STOPWORDS, 5, t.DELIMS)
 
 
+@query
+def top_words_cut(spark, d):
+    """The same, counting only words that a sketch says may be among the five."""
+    return r.top_words(t.reviews(spark, d), t.STOPWORDS, 5, t.DELIMS, cut=True)
+
+
+@query
+def top_words_by_category_cut(spark, d):
+    """The five commonest words per category by the same cut, stopwords from the table of part names."""
+    words = _part_words(spark, d)
+    return r.top_words_by_category(t.reviews(spark, d), words, None, 5, t.DELIMS, cut=True)
+
+
 @query
 def count_by_category(spark, d):
     return r.comments_by(t.reviews(spark, d), "category")
@@ -333,6 +398,14 @@ def totals(spark, d):
     return s.totals(t.shop_orders(spark, d), t.shop_items(spark, d))
 
 
+@query
+def distinct_in_one_scan(spark, d):
+    """Distinct customers, days and order numbers of all orders, nulls not counted."""
+    orders = t.table(spark, d, "orders").withColumn("day", F.to_date("o_orderdate"))
+    wanted = {"customers": "o_custkey", "days": "day", "orders": "o_orderkey"}
+    return distinct_totals(orders, wanted, count_null=False, rows="rows")
+
+
 @query
 def orders_by_country(spark, d):
     return s.orders_by_country(t.shop_orders(spark, d), t.shop_customers(spark, d))
@@ -381,6 +454,37 @@ def category_revenue_in_year(spark, d):
     )
 
 
+@query
+def category_revenue_isolated(spark, d):
+    """The same where orders with very many lines are found first and split."""
+    orders, items = t.shop_orders(spark, d), t.shop_items(spark, d)
+    return s.category_revenue(orders, items, t.shop_products(spark, d), 1997, isolate=True)
+
+
+@query
+def category_revenue_colocated(spark, d):
+    """The same over order lines and orders written in buckets of the order: joined without a shuffle."""
+    base, name = scratch_path(spark, "colocated"), f"shop_{uuid.uuid4().hex}"
+    orders = t.shop_orders(spark, d).withColumnRenamed("order_purchase_timestamp", "moment")
+    write_colocated(t.shop_items(spark, d), {"orders": orders}, "order_id", name, base, 16)
+    in_1997 = (F.col("moment") >= F.lit("1997-01-01").cast("timestamp_ntz")) & (
+        F.col("moment") < F.lit("1998-01-01").cast("timestamp_ntz")
+    )
+    sold = colocated_join(spark, name, "orders", "order_id", where=in_1997)
+    products = t.shop_products(spark, d)
+    return revenue_by_lookup(sold, products, "product_id", "product_category_name", "price", "freight_value")
+
+
+@query
+def orders_by_month_clustered(spark, d):
+    """Orders of 1997 per month, of files laid out by time and customer: most are never opened."""
+    path = scratch_path(spark, "clustered")
+    write_clustered(t.shop_orders(spark, d), path, ["order_purchase_timestamp", "customer_trx_id"], 32)
+    year = (datetime(1997, 1, 1), datetime(1998, 1, 1))
+    orders = read_clustered(spark, path, {"order_purchase_timestamp": year})
+    return s.orders_by_month(orders)
+
+
 @query
 def revenue_many_decimals(spark, d):
     """Revenue per seller of prices with four decimals, as DECIMAL: rounded after the sum only."""
@@ -405,6 +509,18 @@ def seller_stats(spark, d):
     return s.seller_stats(t.shop_items(spark, d))
 
 
+@query
+def seller_stats_ordered(spark, d):
+    return _placed(seller_stats(spark, d))
+
+
+@query
+def seller_stats_text_orders(spark, d):
+    """Order numbers as text, counted through a dictionary."""
+    order = F.concat(F.lit("order "), F.col("order_id").cast("string"))
+    return s.seller_stats(t.shop_items(spark, d).withColumn("order_id", order), dictionary=True)
+
+
 # ---- text and JSON in and out ----------------------------------------------------------------
 
 
@@ -479,6 +595,21 @@ def ratings_from_files(spark, d):
     return m.movie_averages_known(ratings, titles, SCALE)
 
 
+@query
+def incremental_means(spark, d):
+    """Order lines as rating files that arrive in three parts; each run reads the new files only."""
+    base = scratch_path(spark, "growing")
+    lines = t.table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", F.lit("0"))
+    for n in range(3):
+        part = lines.filter(F.pmod(F.xxhash64("l_orderkey", "l_partkey"), F.lit(3)) == n)
+        write_delimited(part, f"{base}/in/part{n}", ",")
+        files = f"{base}/in/*"
+        update_means(
+            spark, f"{base}/state", files, lambda s, p: m.load_ratings(s, p, "strict"), "movie_id", "rating", SCALE
+        )
+    return read_means(spark, f"{base}/state", "movie_id", SCALE)
+
+
 def _with_date_text(df):
     return df.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
 
@@ -520,6 +651,20 @@ def csv_columns_by_name(spark, d):
     )
 
 
+@query
+def csv_mixed_headers(spark, d):
+    """All orders in files of three layouts: other orders of the columns, one column more, one less."""
+    base = scratch_path(spark, "orders-mixed")
+    orders = t.table(spark, d, "orders")
+    names, turn = orders.columns, F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    layouts = [names, [c.upper() for c in reversed(names)] + ["note"], sorted(names[:-1])]
+    for n, columns in enumerate(layouts):
+        part = orders.withColumn("note", F.lit("x")).filter(turn == n).select(*columns)
+        part.write.option("sep", ";").option("header", True).csv(f"{base}/part={n}")
+    kinds = "o_orderkey bigint, o_orderdate timestamp_ntz, o_custkey bigint, o_orderstatus string, o_totalprice double"
+    return _with_date_text(read_csv_columns(spark, f"{base}/*", kinds))
+
+
 @query
 def text_sink(spark, d):
     """Genre report lines written as key, tab, value, and read back."""
@@ -542,7 +687,7 @@ def delimited_sink(spark, d):
 def delimited_encode(spark, d):
     return delimited_lines(
         _with_date_text(t.table(spark, d, "orders")).select(
-            "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
+            "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
         )
     )
 
@@ -585,3 +730,27 @@ def ndjson_stream(spark, d):
     ingest_ndjson(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     back = spark.read.parquet(f"{base}/out")
     return _with_ts_text(back.select(*EVENT_COLUMNS, F.col(CORRUPT).alias("reject"), "kind"))
+
+
+@query
+def ndjson_sinks(spark, d):
+    """The same two folders into a sink of rows, one of rejects and one of counts, a batch for each file at most."""
+    base = scratch_path(spark, "events")
+    events = t.table(spark, d, "events").select(*EVENT_COLUMNS)
+    is_error = F.coalesce(F.col("event_type") == "error", F.lit(False))
+    to_ndjson(events.filter(~is_error)).write.text(f"{base}/in_1")
+    cut = F.concat(F.lit('{"event_id":'), F.col("event_id"), F.lit(',"user_id":'))
+    events.filter(is_error).select(cut.alias("value")).write.text(f"{base}/in_2")
+    for folders in ([f"{base}/in_1"], [f"{base}/in_2"]):
+        stream = read_ndjson_stream(spark, folders, EVENT_SCHEMA, max_files=4)
+        name = folders[0].rsplit("_", 1)[1]
+        ingest_to_sinks(stream, f"{base}/out{name}", f"{base}/checkpoint{name}").awaitTermination()
+
+    def sink(name):
+        return read_sink(spark, f"{base}/out1", name).union(read_sink(spark, f"{base}/out2", name))
+
+    rows, rejects = sink("good").select(F.lit("good").alias("sink"), "event_id"), sink("bad")
+    whole = F.regexp_extract("value", "[0-9]+", 0).cast("bigint")
+    counts = sink("counts").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    both = F.inline(F.array(*[F.struct(F.lit(f"{n} rows").alias("sink"), F.col(n).alias("event_id")) for n in ("good", "bad")]))
+    return rows.union(rejects.select(F.lit("bad"), whole)).union(counts.select(both))

@@ -7,7 +7,15 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.operators import count_by, drop_stopwords, tokenize, top_n, top_n_per_group
+from tallymark.operators import (
+    count_by,
+    drop_members,
+    drop_stopwords,
+    most_frequent,
+    tokenize,
+    top_n,
+    top_n_per_group,
+)
 from tallymark.operators.tokens import WORD_DELIMS
 from tallymark.sources import read_delimited
 
@@ -38,10 +46,19 @@ def load_stopwords(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def clean_words(
-    reviews: DataFrame, stopwords: Stopwords, delims: str = WORD_DELIMS, salts: int = 1
+    reviews: DataFrame,
+    stopwords: Stopwords,
+    delims: str = WORD_DELIMS,
+    salts: int = 1,
+    filtered: bool = False,
 ) -> DataFrame:
-    """One row per word that is not a stopword. No shuffle unless the stopword table is large."""
+    """One row per word that is not a stopword. No shuffle unless the stopword table is large.
+
+    `filtered=True` shuffles no word even then, for a pass over the words beforehand, see `drop_members`.
+    """
     words = tokenize(reviews, "review", ["id", "aspect", "category", "sentiment"], delims=delims)
+    if filtered and isinstance(stopwords, DataFrame):
+        return drop_members(words, stopwords, "word")
     return drop_stopwords(words, stopwords, salts=salts)
 
 
@@ -53,9 +70,11 @@ def word_counts(
 
 
 def top_words(
-    reviews: DataFrame, stopwords: Stopwords, n: int = 5, delims: str = WORD_DELIMS
+    reviews: DataFrame, stopwords: Stopwords, n: int = 5, delims: str = WORD_DELIMS, cut: bool = False
 ) -> DataFrame:
-    """The n most frequent words."""
+    """The n most frequent words. `cut=True` counts only those that may be among them, see `most_frequent`."""
+    if cut:
+        return most_frequent(_kept_words(reviews, ["id"], stopwords, delims), [], "word", n)
     return top_n(word_counts(reviews, stopwords, delims), n, "frequency", ["word"])
 
 
@@ -77,13 +96,26 @@ def top_words_by_category(
     sentiment: str | None = None,
     n: int = 5,
     delims: str = WORD_DELIMS,
+    cut: bool = False,
 ) -> DataFrame:
-    """The n most frequent words per category, over all reviews or those of one sentiment."""
+    """The n most frequent words per category, over all reviews or those of one sentiment; `cut` as in
+    `top_words`."""
     felt = reviews if sentiment is None else reviews.filter(F.col("sentiment") == sentiment)
+    if cut:
+        words = _kept_words(felt, ["id", "category"], stopwords, delims)
+        return most_frequent(words, "category", "word", n)
     counts = _counts(felt, ["category", "word"], stopwords, delims)
     return top_n_per_group(counts, "category", n, "frequency", ["word"])
 
 
+def _kept_words(reviews: DataFrame, keep: Sequence[str], stopwords: Stopwords, delims: str) -> DataFrame:
+    """The words that are no stopwords, of reviews that have an id; none is shuffled."""
+    words = tokenize(reviews.filter(F.col("id").isNotNull()), "review", keep, delims=delims)
+    if isinstance(stopwords, DataFrame):
+        return drop_members(words, stopwords, "word")
+    return drop_stopwords(words, stopwords)
+
+
 def _counts(reviews: DataFrame, keys: Sequence[str], stopwords: Stopwords, delims: str):
     keep = ["id", *[k for k in keys if k != "word"]]
     words = tokenize(reviews, "review", keep, delims=delims)

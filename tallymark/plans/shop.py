@@ -14,6 +14,7 @@ from tallymark.operators import (
     count_by,
     distinct_totals,
     in_year,
+    lookup,
     pair_stats,
     revenue_by,
     revenue_by_lookup,
@@ -80,13 +81,21 @@ def average_score(reviews: DataFrame) -> DataFrame:
 
 
 def category_revenue(
-    orders: DataFrame, items: DataFrame, products: DataFrame, year: int
+    orders: DataFrame,
+    items: DataFrame,
+    products: DataFrame,
+    year: int,
+    salts: int = 1,
+    isolate: bool = False,
 ) -> DataFrame:
-    """Price plus freight per product category over the orders of one year, most first."""
+    """Price plus freight per product category over the orders of one year, most first.
+
+    `salts` and `isolate` are for orders with very many items, see `lookup`.
+    """
     ordered = in_year(orders, "order_purchase_timestamp", year).select("order_id")
     sold = items.select("order_id", "product_id", "price", "freight_value")
     revenue = revenue_by_lookup(
-        ordered.join(sold, "order_id"),
+        lookup(sold, ordered, "order_id", [], "inner", salts=salts, isolate=isolate),
         products,
         "product_id",
         "product_category_name",
@@ -102,7 +111,7 @@ def product_stats(items: DataFrame, reviews: DataFrame, salts: int = 1) -> DataF
     return stats.orderBy(F.desc("total_sold"), "product_id")
 
 
-def seller_stats(items: DataFrame) -> DataFrame:
-    """Revenue and distinct orders per seller, most first."""
-    stats = revenue_by(items, ["seller_id"], "price", "freight_value", "order_id")
+def seller_stats(items: DataFrame, dictionary: bool = False) -> DataFrame:
+    """Revenue and distinct orders per seller, most first; `dictionary` numbers orders first, see `revenue_by`."""
+    stats = revenue_by(items, ["seller_id"], "price", "freight_value", "order_id", dictionary)
     return stats.orderBy(F.desc("total_revenue"), F.desc("total_orders"), "seller_id")

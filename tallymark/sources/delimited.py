@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tallymark.functions import split_fields, trim_blanks
 from tallymark.operators.rows import pinned
+from tallymark.sources.headers import csv_layouts, places_of, read_layout
 
 POLICIES = ("drop", "fail", "keep")
 
@@ -85,8 +87,10 @@ def read_csv(
     schema: str | StructType | None = None,
 ) -> DataFrame:
     """CSV with a header row. Without a schema the types are inferred, at the cost of one more
-    pass over the files."""
-    reader = spark.read.option("sep", sep).option("header", header)
+    pass over the files. A file whose header has other names, or has them in another order, fails
+    the job; `read_csv_columns` reads such files.
+    """
+    reader = spark.read.option("sep", sep).option("header", header).option("enforceSchema", not header)
     reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
     return reader.csv(path)
 
@@ -94,18 +98,23 @@ def read_csv(
 def read_csv_columns(
     spark: SparkSession, path: str | Sequence[str], columns: str, sep: str = ";"
 ) -> DataFrame:
-    """The columns of a DDL, found by their names in the header row whatever their place.
+    """The columns of a DDL, found by their names in the header row of each file whatever their place.
 
-    Only the header line is looked at beforehand. A value that does not parse fails the job; an
-    empty one is null.
+    Files may order their columns differently and have others besides. They are read once for each
+    different header row; only the header lines are looked at beforehand. A file that lacks a
+    column, or has it twice, is refused. A value that does not parse fails the job; an empty one is null.
     """
-    raw = spark.read.option("sep", sep).option("header", True).csv(path)
-    there = {c.lower() for c in raw.columns}
     wanted = StructType.fromDDL(columns).fields
-    missing = [f.name for f in wanted if f.name.lower() not in there]
-    if missing:
-        raise ValueError(f"columns {missing} are not in the header {raw.columns}")
-    return raw.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in wanted])
+    layouts = csv_layouts(spark, path, sep)
+    places = [places_of(layout, [f.name for f in wanted]) for layout in layouts]
+    parts = []
+    for layout, at in zip(layouts, places, strict=True):
+        raw = read_layout(spark, layout, sep, path if len(layouts) == 1 else None)
+        typed = [F.col(f"_{i}").cast(f.dataType).alias(f.name) for i, f in zip(at, wanted, strict=True)]
+        parts.append(raw.select(*typed))
+    if not parts:
+        return spark.createDataFrame([], StructType.fromDDL(columns))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _checked(lines, schema, sep, pick, min_fields, exact, trim):

@@ -1,0 +1,167 @@
+"""Inputs that grow: several sinks in step after a crash, rollups that read new files only, the cut of top words."""
+
+import random
+from collections import Counter
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tallymark.operators import most_frequent, read_means, topk, update_means
+from tallymark.session import scratch_path
+from tallymark.sources import read_delimited
+from tallymark.streaming import (
+    GOOD_AND_BAD,
+    ingest_to_sinks,
+    read_ndjson_stream,
+    read_sink,
+)
+
+SCHEMA = "message string, n int"
+
+
+def ingest(spark, base, sinks=GOOD_AND_BAD):
+    stream = read_ndjson_stream(spark, f"{base}/in", SCHEMA, max_files=1)
+    ingest_to_sinks(stream, f"{base}/out", f"{base}/checkpoint", sinks).awaitTermination()
+
+
+def arrive(spark, base, *lines):
+    df = spark.createDataFrame([(v,) for v in lines], "value string")
+    df.coalesce(1).write.mode("append").text(f"{base}/in")
+
+
+@pytest.mark.parametrize("crash_in", ["good", "bad", "counts"])
+def test_a_crash_between_the_sinks_neither_loses_nor_repeats(spark, crash_in):
+    base = scratch_path(spark, "sinks")
+    arrive(spark, base, '{"message":"a","n":1}', "{broken")
+    ingest(spark, base)
+    arrive(spark, base, '{"message":"b","n":2}', '{"message":"c","n":3}', "[1]")
+
+    def crashes(name, take):
+        def run(batch):
+            if name == crash_in and batch.filter("message = 'b'").count():
+                raise RuntimeError("the power is gone")
+            return take(batch)
+
+        return run
+
+    with pytest.raises(Exception, match="the power is gone"):
+        ingest(spark, base, {n: crashes(n, take) for n, take in GOOD_AND_BAD.items()})
+    # Some sinks have the second batch, the ledger does not: nobody sees it.
+    assert rows(read_sink(spark, f"{base}/out", "good").select("n")) == [(1,)]
+    assert rows(read_sink(spark, f"{base}/out", "bad").select("value")) == [("{broken",)]
+    arrive(spark, base, '{"message":"d","n":4}')
+    ingest(spark, base)
+    ingest(spark, base)
+    assert rows(read_sink(spark, f"{base}/out", "good").select("message", "n")) == [
+        ("a", 1), ("b", 2), ("c", 3), ("d", 4)
+    ]
+    assert rows(read_sink(spark, f"{base}/out", "bad").select("value")) == [("[1]",), ("{broken",)]
+    counts = read_sink(spark, f"{base}/out", "counts")
+    assert rows(counts.select("batch", "good", "bad")) == [(0, 1, 1), (1, 2, 1), (2, 1, 0)]
+
+
+def test_sinks_can_be_read_before_there_is_a_line(spark):
+    base = scratch_path(spark, "sinks")
+    spark.createDataFrame([], "value string").write.text(f"{base}/in")
+    ingest(spark, base)
+    assert all(read_sink(spark, f"{base}/out", n).count() == 0 for n in ("good", "bad"))
+    with pytest.raises(ValueError):
+        ingest_to_sinks(read_ndjson_stream(spark, f"{base}/in", SCHEMA), base, base, {"ledger": lambda b: b})
+
+
+RATINGS = "user string, movie string, rating double"
+
+
+def read(spark, files):
+    return read_delimited(spark, files, RATINGS)
+
+
+def test_a_rollup_equals_a_full_run_after_additions_and_a_failed_run(spark, tmp_path):
+    rng, state = random.Random(2), scratch_path(spark, "state")
+    (tmp_path / "in").mkdir()
+    asked = []
+
+    def noted(spark, files):
+        asked.append(len(files))
+        return read(spark, files)
+
+    def failing(spark, files):
+        return read(spark, files).withColumn("rating", F.raise_error(F.lit("worn out")).cast("double"))
+
+    def add(name):
+        lines = [f"u{i},m{rng.randrange(9)},{rng.randrange(11) / 2}" for i in range(50)]
+        (tmp_path / "in" / name).write_text("\n".join(lines))
+
+    glob = f"{tmp_path}/in/*"
+    add("a b.txt"), add("b.txt")
+    assert update_means(spark, state, glob, noted, "movie", "rating", 2) == 2
+    add("c[1].txt"), add("d%20.txt")
+    with pytest.raises(Exception, match="worn out"):
+        update_means(spark, state, glob, failing, "movie", "rating", 2)
+    assert update_means(spark, state, glob, noted, "movie", "rating", 2) == 2
+    assert update_means(spark, state, glob, noted, "movie", "rating", 2) == 0
+    add("e.txt")
+    assert update_means(spark, state, glob, noted, ["movie"], "rating", 2) == 1 and asked == [2, 2, 1]
+    whole = read(spark, [str(tmp_path / "in")]).groupBy("movie").agg(F.avg("rating"), F.count("rating"))
+    assert rows(read_means(spark, state, "movie", 2)) == rows(whole)
+    (tmp_path / "in" / "b.txt").write_text("u,m1,9")
+    with pytest.raises(ValueError, match=r"b\.txt has changed"):
+        update_means(spark, state, glob, noted, "movie", "rating", 2)
+
+
+def brute(counts, n):
+    return sorted(counts.items(), key=lambda x: (-x[1], x[0].encode()))[:n]
+
+
+@pytest.mark.parametrize("tracked", [1 << 16, 1 << 10])
+def test_most_frequent_words_are_exact_with_ties(spark, monkeypatch, tracked):
+    monkeypatch.setattr(topk, "TRACKED", tracked)
+    monkeypatch.setattr(topk, "_MARGIN", 3.5 / tracked)
+    rng = random.Random(5)
+    data = []
+    for _ in range(30_000):
+        data.append((rng.choice(["x", "y", None]), f"w{int(rng.paretovariate(0.6))}"))
+    data += [("even", f"e{i}") for i in range(3_000)] + [("tied", f"t{i % 40}") for i in range(4_000)]
+    data += [("few", "one"), ("few", None), ("none", None)]
+    df = spark.createDataFrame(data, "g string, word string").repartition(9)
+    by = {}
+    for g, w in data:
+        if w is not None:
+            by.setdefault(g, Counter())[w] += 1
+    for n in (1, 5):
+        want = [(g, w, c) for g, counts in by.items() for w, c in brute(counts, n)]
+        assert rows(most_frequent(df, "g", "word", n)) == sorted(want, key=repr)
+    everything = sum(by.values(), Counter())
+    assert [tuple(r) for r in most_frequent(df, [], "word", 7).collect()] == brute(everything, 7)
+    assert most_frequent(df.limit(0), "g", "word", 3).count() == 0
+
+
+def test_the_tail_of_the_vocabulary_is_not_shuffled(spark):
+    rank = F.floor(F.pow(F.lit(200_000.0), F.rand(3)))
+    df = spark.range(0, 300_000, 1, 8).select(F.concat(F.lit("w"), rank.cast("string")).alias("word"))
+    df.write.parquet(path := scratch_path(spark, "zipf"))
+    df = spark.read.parquet(path)
+    queries = {
+        "whole": lambda: df.groupBy("word").count().orderBy(F.desc("count"), "word").limit(5),
+        "cut": lambda: most_frequent(df, [], "word", 5),
+    }
+
+    def shuffled(name):
+        """Rows that the shuffles of the queries under a job group wrote."""
+        store = spark.sparkContext._jsc.sc().statusStore()
+        return sum(
+            store.lastStageAttempt(stage).shuffleWriteRecords()
+            for job in spark.sparkContext.statusTracker().getJobIdsForGroup(name)
+            for stage in spark.sparkContext.statusTracker().getJobInfo(job).stageIds
+            if spark.sparkContext.statusTracker().getStageInfo(stage)
+        )
+
+    found, top = {}, {}
+    for name, query in queries.items():
+        spark.sparkContext.setJobGroup(name, name)
+        top[name] = [tuple(r) for r in query().collect()]
+        found[name] = shuffled(name)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert top["whole"] == top["cut"]
+    assert found["whole"] > 50_000 and found["cut"] < 1_000

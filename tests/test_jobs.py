@@ -275,3 +275,26 @@ def test_rejected_lines_can_be_written(job):
     ratings = ["u1,m1,4.0,0", "u1,m1", "u1,m1,x,0"]
     assert job("rating-rejects", {"ratings": [ratings]}) == ["u1,m1\tshort", "u1,m1,x,0\tbad"]
     assert job("user-rejects", {"users": [["u1,M,18,1,0", "u2,M,old,1,0"]]}) == ["u2,M,old,1,0\tbad"]
+
+
+@pytest.mark.parametrize("name", ["gender-averages", "age-band-averages", "gender-report", "age-band-report"])
+def test_isolating_hot_users_changes_no_line(job, name):
+    inputs = LENIENT_MOVIES if name.endswith("report") else {**RATED, "users": [USERS]}
+    assert job(name, inputs, isolate=True) == job(name, inputs)
+
+
+def test_other_plans_of_words_and_revenue_change_no_line(job):
+    assert sorted(job("clean-words", REVIEWED, filter_words=True)) == sorted(job("clean-words", REVIEWED))
+    assert job("top-words", REVIEWED, top=3, cut=True) == job("top-words", REVIEWED, top=3)
+    for sentiment in (None, "positive"):
+        options = dict(top=2, sentiment=sentiment)
+        cut = job("category-words", REVIEWED, cut=True, **options)
+        assert sorted(cut) == sorted(job("category-words", REVIEWED, **options))
+    shop = dict(orders=[ORDERS], items=[ITEMS], products=[PRODUCTS])
+    for options in (dict(isolate=True), dict(salts=3)):
+        assert job("category-revenue", shop, year=2024, **options) == ["toys;22.5", "books;5.5"]
+
+
+def test_shop_files_may_order_their_columns_differently(job):
+    swapped = ["Price;Seller_ID;Order_ID;Product_ID;Freight_Value", "7.00;s2;o5;p1;0.25"]
+    assert job("seller-stats", {"items": [ITEMS, swapped]}) == ["s1;122.5;2", "s2;12.75;3"]
