@@ -70,14 +70,21 @@ def prefix_sums(df: DataFrame, keys: list[str], order: str, value: str, out: str
     return df.withColumn(out, F.coalesce(total, F.lit(0)).cast("long"))
 
 
-def if_small(df: DataFrame, most: int = 32 << 20) -> DataFrame:
-    """df, hinted for broadcast if its rows are counted to hold at most so many bytes; else as it is,
-    for a join that shuffles. For tables that are written already."""
+#: Bytes of a table that may be sent to every task.
+SMALL = 32 << 20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether the rows of a table are counted to hold at most SMALL bytes. For tables that are written already."""
     size = F.lit(16 * len(df.columns))
     for name, kind in df.dtypes:
         if kind in ("string", "binary"):
             size = size + F.coalesce(F.octet_length(name), F.lit(0))
         elif kind.startswith("array"):
             size = size + 8 * F.greatest(F.coalesce(F.size(name), F.lit(0)), F.lit(0))
-    total = df.agg(F.sum(size.cast("long"))).first()[0] or 0
-    return F.broadcast(df) if total <= most else df
+    return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= SMALL
+
+
+def if_small(df: DataFrame) -> DataFrame:
+    """df, hinted for broadcast if it is small; else as it is, for a join that shuffles."""
+    return F.broadcast(df) if is_small(df) else df

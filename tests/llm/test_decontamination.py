@@ -54,7 +54,7 @@ def check(spark, docs, items, **options):
 
 @pytest.fixture(params=[32 << 20, -1], ids=["broadcast", "shuffled"])
 def plan(request, monkeypatch):
-    monkeypatch.setattr(common.if_small, "__defaults__", (request.param,))
+    monkeypatch.setattr(common, "SMALL", request.param)
 
 
 def random_case(seed):
