@@ -8,7 +8,6 @@ training has not seen calibrates the probabilities. Scoring is one pass over who
 
 from __future__ import annotations
 
-import re
 from typing import NamedTuple
 
 import numpy as np
@@ -23,7 +22,6 @@ ORDERS, BITS = (1, 2, 3), 15
 BINS = 1 << BITS
 #: Most labelled documents to fit the weights on, all languages together, and most languages.
 SAMPLE, LANGUAGES = 6000, 500
-_LETTER = re.compile(r"[^\W\d_]")
 UNDETERMINED = "und"
 
 
@@ -207,7 +205,7 @@ def predict_language(
             texts = strings(batch.column(1))
             found, scores = [], []
             for text, counts in zip(texts, _counts(texts), strict=True):
-                if model is None or not _LETTER.search(text):
+                if model is None or not any(map(str.isalpha, text)):
                     found.append(UNDETERMINED)
                     scores.append(0.0)
                     continue

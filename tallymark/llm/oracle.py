@@ -1,9 +1,13 @@
 """SQL with the same rows as the queries, where SQL can express them (DuckDB)."""
 
-from tallymark.llm.quality_rules import STOP_WORDS
+import re
+
+from tallymark.llm.quality_rules import OWN_STOP_WORD, STOP_WORDS, UNSPACED
 
 _WORDS = r"[^\x20\x09-\x0D]+"
 _BLANK = r"[\x20\x09-\x0D]"
+_UNSPACED = re.sub(r"\\p\{Is(\w+)\}", r"\\p{\1}", UNSPACED)[1:-1]
+_UNSPACED = re.sub(r"\\u(\w{4})", r"\\x{\1}", _UNSPACED)
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 
 ORACLE: dict[str, str] = {}
@@ -118,7 +122,7 @@ FROM judged
 
 ORACLE["op7_bit_sliced_top_k"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
@@ -150,17 +154,27 @@ WITH t AS (
          coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(l) AS n_lines,
          len(list_filter(w, lambda x: regexp_matches(x, '[!?][!?]$'))) AS shouts,
          len(list_filter(w, lambda x: lower(x) IN ({_STOP}))) AS stops,
+         length(regexp_replace(text, '[^{_UNSPACED}]', '', 'g')) AS unspaced,
+         length(regexp_replace(text, '[^\p{{L}}]', '', 'g')) AS letters,
+         length(regexp_replace(regexp_replace(text, '[^\p{{L}}]', '', 'g'), '[^\p{{Latin}}]', '', 'g')) AS latin,
+         list_filter(list_transform(w, lambda x:
+           regexp_replace(lower(x), '^[^\p{{L}}\p{{M}}]+|[^\p{{L}}\p{{M}}]+$', '', 'g')), lambda x: x != '') AS bare,
          len(list_filter(l, lambda x: regexp_matches(x, '^{_BLANK}*[-*•‣◦]'))) AS bullets,
          len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…){_BLANK}*$'))) AS dots
   FROM t LEFT JOIN repeats USING (doc_id)
+), commonest AS (
+  SELECT *, CASE WHEN n_words >= 200 AND stops / n_words < 0.005 THEN list_mode(bare) END AS own FROM counted
+), shares AS (
+  SELECT *, CASE WHEN own IS NULL THEN 0 ELSE len(list_filter(bare, lambda x: x = own)) END AS own_n FROM commonest
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words OR word_chars < 1.5 * n_words
-            OR word_chars > 40 * n_words OR n_symbols / n_words > 0.4 OR shouts / n_words > 0.4
-            OR (n_words >= 200 AND stops / n_words < 0.005) OR n_dup_lines / n_lines > 0.5
+            OR word_chars - unspaced > 40 * n_words OR n_symbols / n_words > 0.4 OR shouts / n_words > 0.4
+            OR (n_words >= 200 AND stops / n_words < 0.005 AND 2 * latin >= letters
+                AND own_n < {OWN_STOP_WORD} * n_words) OR n_dup_lines / n_lines > 0.5
             OR bullets / n_lines > 0.9 OR dots / n_lines > 0.5) AS kept
-FROM counted
+FROM shares
 """
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import json
 import sys
 import zlib
 from array import array
@@ -34,21 +35,49 @@ CAPACITY = 4096
 REMEMBERED = 600_000
 
 
+# The steps of a tokenizer file that ignores case, drops white space, and cuts there and between
+# letters, digits and signs.
+_NORMALIZERS = [
+    {"type": "NFC"},
+    {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    {"type": "Lowercase"},
+]
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def cuts_words(tokenizer: str) -> bool:
+    """Whether the file (its text) is known to give a text the ids of its words in a row, in any case, and
+    those of a word and the full stop or comma behind it apart."""
+    steps = json.loads(tokenizer)
+    before = steps["pre_tokenizer"] or {}
+    split, *rest = before.get("pretokenizers") or [{}]
+    known = {"type": "Split", "pattern": {"Regex": _CUTS}, "behavior": "Removed", "invert": True}
+    return (
+        (steps["normalizer"] or {}).get("normalizers") == _NORMALIZERS
+        and split == known
+        and all(r["type"] == "ByteLevel" and not (r["add_prefix_space"] or r["use_regex"]) for r in rest)
+        and steps["post_processor"] is None
+        and steps["model"]["type"] == "BPE"
+        and not steps["model"]["dropout"]
+        and all("<|" in t["content"] and not t["normalized"] for t in steps["added_tokens"])
+    )
+
+
 class WordIds:
-    """Ids of whole texts by a `tokenizers` file, word by word.
+    """Ids of whole texts by a `tokenizers` file.
 
-    For tokenizers that never join anything across ASCII white space and drop that white space
-    themselves, the ids of a text are those of its words in a row; words seen before are looked
-    up. If the tokenizer also ignores case and cuts between a letter and a sign (`cuts_signs`),
-    words are looked up in lower case and without the full stop or comma behind them. Both are
-    checked against the library's whole-text encoding in the tests.
+    If the file is one that `cuts_words`, words are looked up in lower case and without the full
+    stop or comma behind them, those seen before in memory; checked against the library's
+    whole-text encoding in the tests. With any other file whole texts are encoded.
     """
 
-    def __init__(self, path: str, cuts_signs: bool = True):
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cuts_signs = cuts_signs
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_words = cuts_words(self.tokenizer.to_str())
         self.ids = Remembered(self._encode, REMEMBERED)
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
@@ -58,14 +87,17 @@ class WordIds:
 
     def __call__(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text; null is empty."""
+        if not self.by_words:
+            for text in texts.to_pylist():
+                yield np.frombuffer(self._encode([(text or "").encode("utf-8", "replace")])[0], "<u4")
+            return
         for at in range(0, len(texts), TEXTS):
             part = texts.slice(at, TEXTS).fill_null("")
-            if self.cuts_signs:
-                plain = pc.replace_substring_regex(
-                    pc.ascii_lower(part), pattern="([a-z])([.,])", replacement=r"\1 \2"
-                )
-                # Special tokens are case-sensitive: leave texts that may have them as they are.
-                part = pc.if_else(pc.match_substring(part, "<|"), part, plain)
+            plain = pc.replace_substring_regex(
+                pc.ascii_lower(part), pattern="([a-z])([.,])", replacement=r"\1 \2"
+            )
+            # Special tokens are case-sensitive: leave texts that may have them as they are.
+            part = pc.if_else(pc.match_substring(part, "<|"), part, plain)
             yield from spread(pc.ascii_split_whitespace(part), self.ids, "<u4")
 
 

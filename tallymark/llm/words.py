@@ -11,17 +11,22 @@ import pyarrow as pa
 TEXTS = 1024
 
 
+#: Bytes of words and values that a memory keeps, twice at most.
+KEPT = 64 << 20
+
+
 class Remembered:
-    """Values of a function over words; those asked for lately are kept, within a bound."""
+    """Values of a function over words; those asked for lately are kept, within bounds of number and bytes."""
 
-    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], most: int):
-        self.compute, self.most = compute, most
+    def __init__(self, compute: Callable[[list[bytes]], list[bytes]], most: int, most_bytes: int = KEPT):
+        self.compute, self.most, self.most_bytes = compute, most, most_bytes
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.bytes = 0
 
     def __call__(self, words: list[bytes]) -> list[bytes]:
-        if len(self.new) > self.most:
-            self.old, self.new = self.new, {}
+        if len(self.new) > self.most or self.bytes > self.most_bytes:
+            self.old, self.new, self.bytes = self.new, {}, 0
         found = list(map(self.new.get, words))
         unknown = []
         for i in [i for i, value in enumerate(found) if value is None]:
@@ -29,11 +34,18 @@ class Remembered:
             if found[i] is None:
                 unknown.append(i)
             else:
-                self.new[words[i]] = found[i]
+                self._keep(words[i], found[i])
         for i, value in zip(unknown, self.compute([words[i] for i in unknown]), strict=True):
-            found[i] = self.new[words[i]] = value
+            found[i] = value
+            self._keep(words[i], value)
         return found
 
+    def _keep(self, word: bytes, value: bytes) -> None:
+        size = len(word) + len(value)
+        if size <= self.most_bytes >> 10:  # a very long word is not worth many short ones
+            self.new[word] = value
+            self.bytes += size
+
 
 def spread(lists: pa.Array, values: Callable[[list[bytes]], list[bytes]], kind: str) -> Iterator[np.ndarray]:
     """For each list of words, the values of its words in a row, as numbers of a type."""
