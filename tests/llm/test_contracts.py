@@ -7,7 +7,6 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import pytest
 from check_oracle import compare, connect
 from tokenizers import Tokenizer
 
@@ -116,12 +115,6 @@ def test_quality_rules_in_many_scripts_match_the_sql(spark, tmp_path):
     assert min(kept.values()) >= 8
 
 
-@pytest.mark.parametrize("name", ["op7_bit_sliced_top_k", "op10_quality_rules"])
-def test_sql_still_matches_on_the_given_tables(spark, name):
-    folder = "/root/testdata/sf0.01"
-    assert compare(queries()[name](spark, folder), connect(folder), ORACLE[name]) == ""
-
-
 def test_scripts_without_spaces_lie_in_their_range(spark):
     from tallymark.llm.quality_rules import UNSPACED, UNSPACED_RANGE
 

@@ -52,11 +52,6 @@ def check(spark, docs, items, **options):
     return found
 
 
-@pytest.fixture(params=[32 << 20, -1], ids=["broadcast", "shuffled"])
-def plan(request, monkeypatch):
-    monkeypatch.setattr(common, "SMALL", request.param)
-
-
 def random_case(seed):
     rng = random.Random(seed)
     letters = ["ab", "Cd", "é", "x9", "the", "of", "日本", "zz"]
@@ -72,8 +67,9 @@ def random_case(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_random_texts(spark, plan, seed):
+@pytest.mark.parametrize(("seed", "small"), [(1, 32 << 20), (2, -1)], ids=["broadcast", "shuffled"])
+def test_random_texts(spark, monkeypatch, seed, small):
+    monkeypatch.setattr(common, "SMALL", small)
     docs, items = random_case(seed)
     found = check(spark, docs, items)
     counts = {}
