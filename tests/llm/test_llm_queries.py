@@ -245,11 +245,11 @@ def docs_schema(spark):
 
 def test_every_query_is_registered():
     names = [n for n in queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(ORACLE) <= set(queries())
 
 
 def test_native_queries_have_no_python(spark):
-    for name in ("op6_fair_mix", "op10_quality_rules"):
+    for name in ("op6_fair_mix", "op10_quality_rules", "op12_benchmark_decontamination"):
         plan = queries()[name](spark, SMALL)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan
